@@ -1,0 +1,6 @@
+"""Every registered query of the core engine, with its SQL oracle."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict = {}
