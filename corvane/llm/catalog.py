@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import url_filter
+from . import bpe, packing, url_filter
 
 _OPS = {
+    "op2_bpe": bpe,
+    "op3_packing": packing,
     "op5_url_filter": url_filter,
 }
 
