@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, url_filter
+from . import bpe, license_scan, packing, url_filter, warc
 
 _OPS = {
     "op2_bpe": bpe,
     "op3_packing": packing,
     "op5_url_filter": url_filter,
+    "op7_license_scan": license_scan,
+    "op9_warc": warc,
 }
 
 
