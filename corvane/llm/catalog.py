@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, license_scan, packing, url_filter, warc
+from . import bpe, license_scan, packing, simhash, span_hash, url_filter, warc
 
 _OPS = {
     "op2_bpe": bpe,
     "op3_packing": packing,
     "op5_url_filter": url_filter,
+    "op6_simhash": simhash,
     "op7_license_scan": license_scan,
+    "op8_span_hash": span_hash,
     "op9_warc": warc,
 }
 
