@@ -21,6 +21,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memo import Memo, groups
+
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces remembered by one worker before it starts afresh.
+#: Pieces of each generation that one worker remembers.
 MEMORY_ENTRIES = 250_000
 
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -71,7 +75,7 @@ class Codec:
         for s, i in strings.items():
             self.strings[i] = bytes(back[c] for c in s) if all(c in back for c in s) else s.encode()
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self._memory: dict[str, bytes] = {}
+        self.memo = Memo(self._pieces, MEMORY_ENTRIES)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -100,29 +104,25 @@ class Codec:
                 heapq.heappush(queue, (m[0], h, m[1]))
         return [x for x in ids if x >= 0]
 
-    def _plain(self, text: str) -> bytes:
-        """Ids, as int32 bytes, of a text without special tokens."""
-        pieces, memory = _PIECE.findall(text), self._memory
-        try:
-            return b"".join(map(memory.__getitem__, pieces))
-        except KeyError:
-            if len(memory) > MEMORY_ENTRIES:
-                memory.clear()
-            for p in set(pieces).difference(memory):
-                ids: list[int] = []
-                for t in self.pre_token.findall(p):
-                    ids += self.merge(t.encode())
-                memory[p] = np.array(ids, np.int32).tobytes()
-            return b"".join(map(memory.__getitem__, pieces))
-
-    def encode(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        if self._special and any(s in text for s in self.special):
-            parts = self._special.split(text)
-            data = b"".join(np.int32(self.special[p]).tobytes() if i % 2 else self._plain(p) for i, p in enumerate(parts))
-        else:
-            data = self._plain(text)
-        return np.frombuffer(data, np.int32)
+    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        for p in pieces:
+            ids: list[int] = []
+            for t in self.pre_token.findall(p):
+                ids += self.merge(t.encode())
+            yield array("i", ids).tobytes()
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """int32 ids of each text."""
+        for some in groups([t or "" for t in texts]):
+            special = [t for t in some if self._special and any(s in t for s in self.special)]
+            plain = iter(self.memo.lookup([[] if t in special else _PIECE.findall(t) for t in some] if special else list(map(_PIECE.findall, some))))
+            for t in some:
+                data = next(plain)
+                if t in special:
+                    parts = self._special.split(t)
+                    spelt = iter(self.memo.lookup([_PIECE.findall(p) for p in parts[::2]]))
+                    data = b"".join(np.int32(self.special[p]).tobytes() if i % 2 else next(spelt) for i, p in enumerate(parts))
+                yield np.frombuffer(data, np.int32)
 
     def decode(self, ids) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
@@ -139,7 +139,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id",
     def run(batches):
         c = codec(tokenizer)
         for b in batches:
-            rows = [c.encode(t) for t in b.column(1).to_pylist()]
+            rows = list(c.encode(b.column(1).to_pylist()))
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=[id_col, "ids"])

@@ -13,6 +13,8 @@ itself; an empty table gives an empty result. Extra columns are not carried.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,12 +25,13 @@ from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
 from .common import materialise
+from .memo import Memo, groups
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
-#: Words remembered by one worker before it starts afresh.
-MEMORY_ENTRIES = 300_000
+#: Words of each generation that one worker remembers.
+MEMORY_ENTRIES = 400_000
 
 
 class WordIds:
@@ -44,22 +47,17 @@ class WordIds:
         self.t = Tokenizer.from_file(tokenizer_file(name_or_path))
         self.t.no_padding()
         self.t.no_truncation()
-        self._memory: dict[bytes, bytes] = {}
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words, memory = (text or "").encode().split(), self._memory
-        try:
-            return b"".join(map(memory.__getitem__, words))
-        except KeyError:
-            if len(memory) > MEMORY_ENTRIES:
-                memory.clear()
-            new = list(set(words).difference(memory))
-            for i in range(0, len(new), 4096):
-                some = new[i : i + 4096]
-                for w, e in zip(some, self.t.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                    memory[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(memory.__getitem__, words))
+        self.memo = Memo(self._words, MEMORY_ENTRIES)
+
+    def _words(self, words: list[bytes]) -> Iterator[bytes]:
+        for i in range(0, len(words), 4096):
+            for e in self.t.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        for some in groups([t or "" for t in texts]):
+            yield from self.memo.lookup([t.encode().split() for t in some])
 
 
 @lru_cache(maxsize=2)
@@ -84,8 +82,8 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
         t = word_ids(tokenizer)
         for b in batches:
             at, start, length, ids, total = [], [], [], [], []
-            for row, text in enumerate(b.column(1).to_pylist()):
-                data, done = t.encode(text) + end, 0
+            for row, data in enumerate(t.encode(b.column(1).to_pylist())):
+                data, done = data + end, 0
                 n = len(data) // 4
                 for k in piece_lengths(n, sequence):
                     at.append(row), start.append(done), length.append(k), total.append(n)
