@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, license_scan, packing, simhash, span_hash, url_filter, warc
+from . import bpe, license_scan, packing, simhash, span_hash, toxicity, url_filter, warc
 
 _OPS = {
+    "op1_toxicity": toxicity,
     "op2_bpe": bpe,
     "op3_packing": packing,
     "op5_url_filter": url_filter,
