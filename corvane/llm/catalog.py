@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, license_scan, packing, simhash, span_hash, toxicity, url_filter, warc
+from . import bpe, embedding_dedup, license_scan, packing, simhash, span_hash, toxicity, url_filter, warc
 
 _OPS = {
     "op1_toxicity": toxicity,
@@ -13,6 +13,7 @@ _OPS = {
     "op7_license_scan": license_scan,
     "op8_span_hash": span_hash,
     "op9_warc": warc,
+    "op10_embedding_dedup": embedding_dedup,
 }
 
 
