@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .memo import Memo, groups
+from .memo import Memo, groups, spell
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces of each generation that one worker remembers.
 MEMORY_ENTRIES = 250_000
 
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 
 
@@ -68,6 +67,7 @@ class Codec:
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.of_byte = [vocab[s] for s in symbols]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.special_bytes = [t.encode() for t in self.special]
         self.pre_token = regex.compile(_PRE_TOKEN)
         back = {s: b for b, s in enumerate(symbols)}
         strings = vocab | self.special
@@ -104,30 +104,63 @@ class Codec:
                 heapq.heappush(queue, (m[0], h, m[1]))
         return [x for x in ids if x >= 0]
 
-    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+    def _pieces(self, pieces: list[bytes]) -> Iterator[bytes]:
         for p in pieces:
             ids: list[int] = []
-            for t in self.pre_token.findall(p):
+            for t in self.pre_token.findall(p.decode()):
                 ids += self.merge(t.encode())
             yield array("i", ids).tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """int32 ids of each text."""
-        for some in groups([t or "" for t in texts]):
-            special = [t for t in some if self._special and any(s in t for s in self.special)]
-            plain = iter(self.memo.lookup([[] if t in special else _PIECE.findall(t) for t in some] if special else list(map(_PIECE.findall, some))))
-            for t in some:
-                data = next(plain)
-                if t in special:
-                    parts = self._special.split(t)
-                    spelt = iter(self.memo.lookup([_PIECE.findall(p) for p in parts[::2]]))
-                    data = b"".join(np.int32(self.special[p]).tobytes() if i % 2 else next(spelt) for i, p in enumerate(parts))
-                yield np.frombuffer(data, np.int32)
+    def _plain(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        return spell(*cut_pieces(texts), self.memo)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text of a string array."""
+        for some in groups(texts):
+            spelt = self._plain(some)
+            found = [i for i, t in enumerate(some) if any(s in t.as_py() for s in self.special_bytes)] if any(s in memoryview_of(some) for s in self.special_bytes) else []
+            for i, ids in enumerate(spelt):
+                if i in found:  # special tokens are cut out first
+                    parts = self._special.split(some[i].as_py().decode())
+                    plain = iter(list(self._plain(pa.array([p.encode() for p in parts[::2]], pa.large_binary()))))
+                    ids = np.concatenate([[self.special[p]] if k % 2 else next(plain) for k, p in enumerate(parts)])
+                yield ids.astype(np.int32)
 
     def decode(self, ids) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_ASCII_WS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def memoryview_of(texts: pa.Array) -> bytes:
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)
+    return bytes(texts.buffers()[2] or b"")[offsets[texts.offset] : offsets[texts.offset + len(texts)]]
+
+
+def cut_pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets of texts in their pieces, and the pieces; cut before ASCII white space that follows no white space.
+
+    Bytes that may end other white space count as such, so that nothing is cut inside it.
+    """
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    ends = ends - ends[0]
+    data = np.frombuffer(memoryview_of(texts), np.uint8)
+    space = _ASCII_WS[data]
+    cut = space.copy()
+    cut[1:] &= ~space[:-1]
+    tail = np.zeros(len(data), bool)  # last byte of U+0085, U+00A0, U+1680, U+2000 to U+205F or U+3000
+    tail[1:] = (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+    if len(data) > 2:
+        tail[2:] |= (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3) & ((data[1:-1] == 0x80) | (data[1:-1] == 0x81) | (data[1:-1] == 0x9A))
+    cut[1:] &= ~tail[:-1]
+    starts = np.unique(np.concatenate((np.flatnonzero(cut), ends[:-1])))
+    starts = starts[starts < len(data)]
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return np.searchsorted(starts, ends), pieces
+
+
 @lru_cache(maxsize=2)
 def codec(name_or_path: str) -> Codec:
     return Codec(name_or_path)
@@ -139,7 +172,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id",
     def run(batches):
         c = codec(tokenizer)
         for b in batches:
-            rows = list(c.encode(b.column(1).to_pylist()))
+            rows = list(c.encode(b.column(1)))
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=[id_col, "ids"])

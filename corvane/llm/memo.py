@@ -1,8 +1,15 @@
-"""A memory of bounded size for the encodings of words."""
+"""Encoding many texts word by word: each distinct word once."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+
+#: Characters of text whose distinct words are gathered together, and words spelt at a time.
+GROUP_BYTES = 16 << 20
+_WORDS = 1 << 20
 
 
 class Memo:
@@ -11,39 +18,52 @@ class Memo:
     ``make`` encodes many distinct keys at once. Results never depend on what is remembered.
     """
 
-    def __init__(self, make: Callable[[list], Iterable[bytes]], entries: int):
+    def __init__(self, make: Callable[[list[bytes]], Iterable[bytes]], entries: int):
         self.make, self.entries = make, entries
-        self.young: dict[Hashable, bytes] = {}
-        self.old: dict[Hashable, bytes] = {}
-
-    def lookup(self, texts: list[list]) -> list[bytes]:
-        """Joined encodings of the words of each text."""
-        found = [list(map(self.young.get, words)) for words in texts]
-        gaps = [[i for i, p in enumerate(parts) if p is None] if None in parts else () for parts in found]
-        new: dict[Hashable, bytes | None] = {words[i]: None for words, at in zip(texts, gaps, strict=True) for i in at}
-        if new:
-            for w in new:
-                new[w] = self.old.get(w)
-            unknown = [w for w, p in new.items() if p is None]
-            new.update(zip(unknown, self.make(unknown), strict=True))
-            for words, parts, at in zip(texts, found, gaps, strict=True):
-                for i in at:
-                    parts[i] = new[words[i]]
-            if len(self.young) + len(new) > self.entries:
-                self.old, self.young = self.young, {}
-            if len(new) <= self.entries:
-                self.young.update(new)
-        return list(map(b"".join, found))
-
-
-def groups(texts: list, most: int = 1 << 20) -> Iterable[list]:
-    """Successive runs of texts of about ``most`` characters."""
-    some, size = [], 0
-    for t in texts:
-        some.append(t)
-        size += len(t)
-        if size >= most:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def __call__(self, keys: list[bytes]) -> list[bytes]:
+        """Encodings of distinct keys."""
+        found = [self.young.get(k) or self.old.get(k) for k in keys]
+        at = [i for i, v in enumerate(found) if v is None]
+        for i, v in zip(at, self.make([keys[i] for i in at]), strict=True):
+            found[i] = v
+        if len(self.young) + len(keys) > self.entries:
+            self.old, self.young = self.young, {}
+        if len(keys) <= self.entries:
+            self.young.update(zip(keys, found, strict=True))
+        return found
+
+
+def groups(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of a string array of about ``GROUP_BYTES`` each, at least one text; nulls become empty."""
+    texts = texts.fill_null("").cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + GROUP_BYTES, side="right")) - 1)
+        yield texts.slice(i, j - i)
+        i = j
+
+
+def spell(per_text: np.ndarray, words: pa.Array, make: Callable[[list[bytes]], Iterable[bytes]]) -> Iterator[np.ndarray]:
+    """Unsigned 32-bit ids of each text. ``per_text``: offsets of texts in ``words``; ``make``: ids of distinct words as bytes."""
+    coded = words.dictionary_encode()
+    parts = list(make(coded.dictionary.to_pylist()))
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat, starts = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    i, n = 0, len(per_text) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(per_text, per_text[i] + _WORDS, side="right")) - 1)
+        w = which[per_text[i] : per_text[j]]
+        size = sizes[w]
+        ends = np.cumsum(size)
+        at = np.repeat(starts[w] - (ends - size), size)
+        at += np.arange(len(at))
+        ids = flat[at]
+        cuts = np.concatenate(([0], ends))[per_text[i : j + 1] - per_text[i]]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield ids[a:b]
+        i = j

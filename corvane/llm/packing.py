@@ -19,19 +19,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
 from .common import materialise
-from .memo import Memo, groups
+from .memo import groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
-#: Words of each generation that one worker remembers.
-MEMORY_ENTRIES = 400_000
 
 
 class WordIds:
@@ -47,17 +46,17 @@ class WordIds:
         self.t = Tokenizer.from_file(tokenizer_file(name_or_path))
         self.t.no_padding()
         self.t.no_truncation()
-        self.memo = Memo(self._words, MEMORY_ENTRIES)
 
     def _words(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
             for e in self.t.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        for some in groups([t or "" for t in texts]):
-            yield from self.memo.lookup([t.encode().split() for t in some])
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Unsigned 32-bit ids of each text."""
+        for some in groups(texts):
+            split = pc.ascii_split_whitespace(some.cast(pa.large_string()))
+            yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), split.flatten().cast(pa.large_binary()), self._words)
 
 
 @lru_cache(maxsize=2)
@@ -82,8 +81,8 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
         t = word_ids(tokenizer)
         for b in batches:
             at, start, length, ids, total = [], [], [], [], []
-            for row, data in enumerate(t.encode(b.column(1).to_pylist())):
-                data, done = data + end, 0
+            for row, found in enumerate(t.encode(b.column(1))):
+                data, done = found.tobytes() + end, 0
                 n = len(data) // 4
                 for k in piece_lengths(n, sequence):
                     at.append(row), start.append(done), length.append(k), total.append(n)
