@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from .memo import Memo, groups, spell
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces of each generation that one worker remembers.
-MEMORY_ENTRIES = 250_000
+#: Pre-tokens of each generation that one worker remembers.
+MEMORY_ENTRIES = 200_000
+#: Bits of an id, and of a place in a pre-token, in the numbers below.
+_ID, _AT = 20, 32
+_ID_MASK, _AT_MASK = (1 << _ID) - 1, (1 << _AT) - 1
 
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
@@ -64,7 +67,8 @@ class Codec:
             spec = json.load(f)
         vocab, symbols = spec["model"]["vocab"], byte_symbols()
         pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # the pair's ids, and its rank with the id that it makes, as one number each
+        self.merges = {vocab[a] << _ID | vocab[b]: rank << _ID | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.of_byte = [vocab[s] for s in symbols]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special_bytes = [t.encode() for t in self.special]
@@ -75,44 +79,42 @@ class Codec:
         for s, i in strings.items():
             self.strings[i] = bytes(back[c] for c in s) if all(c in back for c in s) else s.encode()
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo = Memo(self._pieces, MEMORY_ENTRIES)
+        self.memo = Memo(lambda t: array("i", self.merge(t.encode())).tobytes(), MEMORY_ENTRIES)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ids = [self.of_byte[b] for b in data]
-        n, merges = len(ids), self.merges
+        of_byte, merged = self.of_byte, self.merges.get
+        ids = [of_byte[b] for b in data]
+        n = len(ids)
         if n < 2:
             return ids
         prev, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
-        for i in range(n - 1):
-            if m := merges.get((ids[i], ids[i + 1])):
-                queue.append((m[0], i, m[1]))
+        queue = [m << _AT | i for i in range(n - 1) if (m := merged(ids[i] << _ID | ids[i + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            rank, i, new = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i, m = entry & _AT_MASK, entry >> _AT
             j = after[i]
-            if ids[i] < 0 or j < 0 or merges.get((ids[i], ids[j]), (-1,))[0] != rank:
-                continue
+            if ids[i] < 0 or j < 0 or merged(ids[i] << _ID | ids[j]) != m:
+                continue  # stale
+            new = m & _ID_MASK
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
                 prev[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(queue, (m[0], i, m[1]))
-            if (h := prev[i]) >= 0 and (m := merges.get((ids[h], new))):
-                heapq.heappush(queue, (m[0], h, m[1]))
+                if (m := merged(new << _ID | ids[k])) is not None:
+                    heapq.heappush(queue, m << _AT | i)
+            if (h := prev[i]) >= 0 and (m := merged(ids[h] << _ID | new)) is not None:
+                heapq.heappush(queue, m << _AT | h)
         return [x for x in ids if x >= 0]
 
     def _pieces(self, pieces: list[bytes]) -> Iterator[bytes]:
+        find, known = self.pre_token.findall, self.memo
         for p in pieces:
-            ids: list[int] = []
-            for t in self.pre_token.findall(p.decode()):
-                ids += self.merge(t.encode())
-            yield array("i", ids).tobytes()
+            yield b"".join([known[t] for t in find(p.decode())])
 
     def _plain(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        return spell(*cut_pieces(texts), self.memo)
+        return spell(*cut_pieces(texts), self._pieces)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text of a string array."""
@@ -154,8 +156,8 @@ def cut_pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     if len(data) > 2:
         tail[2:] |= (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3) & ((data[1:-1] == 0x80) | (data[1:-1] == 0x81) | (data[1:-1] == 0x9A))
     cut[1:] &= ~tail[:-1]
-    starts = np.unique(np.concatenate((np.flatnonzero(cut), ends[:-1])))
-    starts = starts[starts < len(data)]
+    cut[ends[:-1][ends[:-1] < len(data)]] = True
+    starts = np.flatnonzero(cut)
     offsets = np.append(starts, len(data)).astype(np.int64)
     pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     return np.searchsorted(starts, ends), pieces

@@ -8,32 +8,27 @@ import numpy as np
 import pyarrow as pa
 
 #: Characters of text whose distinct words are gathered together, and words spelt at a time.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 _WORDS = 1 << 20
 
 
-class Memo:
-    """Two generations of at most ``entries`` each; what is used again moves on, the rest is forgotten.
+class Memo(dict):
+    """A table that makes what it lacks, of two generations of at most ``entries`` each.
 
-    ``make`` encodes many distinct keys at once. Results never depend on what is remembered.
+    What is used again moves on, the rest is forgotten. Results never depend on what is remembered.
     """
 
-    def __init__(self, make: Callable[[list[bytes]], Iterable[bytes]], entries: int):
-        self.make, self.entries = make, entries
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+    def __init__(self, make: Callable, entries: int):
+        self.make, self.entries, self.old = make, entries, {}
 
-    def __call__(self, keys: list[bytes]) -> list[bytes]:
-        """Encodings of distinct keys."""
-        found = [self.young.get(k) or self.old.get(k) for k in keys]
-        at = [i for i, v in enumerate(found) if v is None]
-        for i, v in zip(at, self.make([keys[i] for i in at]), strict=True):
-            found[i] = v
-        if len(self.young) + len(keys) > self.entries:
-            self.old, self.young = self.young, {}
-        if len(keys) <= self.entries:
-            self.young.update(zip(keys, found, strict=True))
-        return found
+    def __missing__(self, key):
+        if (value := self.old.get(key)) is None:
+            value = self.make(key)
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def groups(texts: pa.Array) -> Iterator[pa.Array]:
