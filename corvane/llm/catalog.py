@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, license_scan, packing, simhash, span_hash, toxicity, url_filter, warc
+from . import bpe, embedding_dedup, license_scan, packing, simhash, span_hash, suffix_dedup, toxicity, url_filter, warc
 
 _OPS = {
     "op1_toxicity": toxicity,
     "op2_bpe": bpe,
     "op3_packing": packing,
+    "op4_suffix_dedup": suffix_dedup,
     "op5_url_filter": url_filter,
     "op6_simhash": simhash,
     "op7_license_scan": license_scan,
