@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import bpe, embedding_dedup, license_scan, packing, simhash, span_hash, suffix_dedup, toxicity, url_filter, warc
 
 _OPS = {
@@ -19,7 +21,7 @@ _OPS = {
 
 
 def queries() -> dict:
-    return {name: m.query for name, m in _OPS.items()}
+    return {name: m.query for name, m in _OPS.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:

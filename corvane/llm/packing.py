@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
-from .common import materialise
+from .common import materialise, shared_path
 from .memo import groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,60 +78,50 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        t = word_ids(tokenizer)
+        t, part = word_ids(tokenizer), TaskContext.get().partitionId()
+        seen: dict[int, int] = {}
         for b in batches:
-            at, start, length, ids, total = [], [], [], [], []
+            at, start, length, ids, total, nth = [], [], [], [], [], []
             for row, found in enumerate(t.encode(b.column(1))):
                 data, done = found.tobytes() + end, 0
                 n = len(data) // 4
                 for k in piece_lengths(n, sequence):
-                    at.append(row), start.append(done), length.append(k), total.append(n)
+                    at.append(row), start.append(done), length.append(k), total.append(n), nth.append(seen.get(k, 0))
                     ids.append(data[4 * done : 4 * (done + k)])
+                    seen[k] = nth[-1] + 1
                     done += k
-            arrays = [b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "start", "length", "ids", "doc_tokens"])
+            arrays = [b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total, pa.int64()), pa.array([part] * len(at), pa.int64()), pa.array(nth, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "start", "length", "ids", "doc_tokens", "part", "nth"])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long")
+    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long")
 
 
 def number(pieces: DataFrame) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset``.
+    """Replaces ``part`` and ``nth`` by ``sequence_id`` and ``offset``. ``pieces`` must be materialised.
 
-    The pieces are written once to the shared folder; then each partition
-    numbers its own on from the counts, by length, of those before it. Only
-    those counts (partitions x lengths) reach the driver, no row is shuffled.
+    A piece is the ``nth`` of its length in its task's part; each part numbers on
+    from the parts before it. Only the counts (parts x lengths) reach the driver
+    and are broadcast; no piece is shuffled.
     """
-    kept = materialise(pieces)
-    counts = kept.groupBy(F.spark_partition_id().alias("part"), "length").count().collect()
-    first, total = {}, 0
+    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n")).collect()
+    rows, total = [], 0
     for r in sorted(counts, key=lambda r: (-r["length"], r["part"])):
-        first[r["part"], r["length"]] = total
-        total += r["count"]
-    names = [*pieces.columns, "sequence_id", "offset"]
-
-    def run(batches):
-        part = TaskContext.get().partitionId()
-        mine = {k: v for (p, k), v in first.items() if p == part}
-        for b in batches:
-            length = b.column(b.schema.get_field_index("length")).to_numpy()
-            seq = np.empty(len(length), np.int64)
-            for k in np.unique(length).tolist():
-                hit = np.flatnonzero(length == k)
-                seq[hit] = mine[k] + np.arange(len(hit))
-                mine[k] += len(hit)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(seq), pa.array(np.zeros(len(seq), np.int64))], names=names)
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes) + ", sequence_id long, offset long"
-    return kept.mapInArrow(run, schema)
+        rows.append((r["length"], r["part"], total))
+        total += r["n"]
+    first = pieces.sparkSession.createDataFrame(rows, "length long, part long, first long")
+    numbered = pieces.join(F.broadcast(first), ["length", "part"])
+    kept = [c for c in pieces.columns if c not in ("part", "nth")]
+    return numbered.select(*kept, (F.col("first") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
 def pack(docs: DataFrame, digest: bool = False, **options) -> DataFrame:
     """Numbered pieces with their ``ids``; with ``digest`` their CRC-32 instead, so ids are never stored."""
     pieces = cut(docs, **options)
     if digest:
-        pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return number(pieces)
+        return number(materialise(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
+    pieces.write.parquet(path := shared_path(docs.sparkSession, "pieces"))
+    return number(docs.sparkSession.read.parquet(path))
 
 
 def query(spark, sf_dir):

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -55,16 +55,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """id and ``fp`` (the fingerprint's bits as a signed long) for each row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """id, ``fp`` (the fingerprint's bits as a signed long) and ``k0``, ``k1``... (long ``keys``) for each row."""
+    names = [f"k{i}" for i in range(len(keys))]
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names=[id_col, "fp", *names])
 
-    src = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` long, fp long")
+    src = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"), *[k.alias(n) for k, n in zip(keys, names, strict=True)])
+    return src.mapInArrow(run, f"`{id_col}` long, fp long" + "".join(f", {n} long" for n in names))
 
 
 def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
@@ -85,13 +86,27 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """id, fp and ``component_id``, the smallest id reachable by links."""
-    fp = materialise(fingerprints(docs, id_col, text_col))
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """id, fp and ``component_id``, the smallest id reachable by links, and the ``keys`` of ``fingerprints``."""
+    fp = materialise(fingerprints(docs, id_col, text_col, keys=keys))
     distinct = fp.groupBy("fp").agg(F.min(id_col).alias("rep"))
     comp = connected_components(links(distinct.filter("rep is not null"), bits))
     found = distinct.join(comp, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fp.join(found, "fp").select(id_col, "fp", "component_id")
+    return fp.join(found, "fp").select(id_col, "fp", "component_id", *[c for c in fp.columns if c not in (id_col, "fp")])
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, each once; those without an id stay unless they link to one with.
+
+    Rows are told apart by two hashes of id and text; texts are shuffled once, by these.
+    """
+    names = ("__k0", "__k1")
+    keys = (F.xxhash64(id_col, text_col), F.xxhash64(F.lit("row"), text_col, id_col))
+    comp = components(docs, id_col, text_col, bits, keys)
+    keep = comp.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("k0").alias("__k0"), F.col("k1").alias("__k1")).distinct()
+    found = docs.withColumns(dict(zip(names, keys, strict=True))).join(keep.hint("merge"), list(names), "left_semi")
+    once = found.withColumn("__nth", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1)))).filter("__nth = 1")
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir):

@@ -177,8 +177,8 @@ def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), hot_groups: int = HOT_GROUPS) -> DataFrame:
-    """id, the columns of ``keep``, n_bytes, n_removed, n_spans and ``kept`` (the bytes that stay) of each row."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), hot_groups: int = HOT_GROUPS, as_text: bool = False) -> DataFrame:
+    """id, the columns of ``keep``, n_bytes, n_removed, n_spans and ``kept`` of each row: the bytes that stay, or with ``as_text`` their whole characters."""
     if length < KEY_BYTES or 2 * length - 2 > 254:
         raise ValueError("length must be from 20 to 128")
     text = F.col(text_col).cast("string").cast("binary")
@@ -308,8 +308,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         a, b = group.starts, group.starts + group.sizes
         removed, spans = (upto(x)[b] - upto(x)[a] for x in (covered, begins))
         kept = [group.data[i:j][~covered[i:j]].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+        kept = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
         cols = [t.column(c).take(pa.array(group.rows)).combine_chunks() for c in t.column_names if c not in ("g", "__text")]
-        return pa.Table.from_arrays([*cols, pa.array(group.sizes), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), pa.array(kept, pa.binary())], names=[*(c for c in t.column_names if c not in ("g", "__text")), "n_bytes", "n_removed", "n_spans", "kept"])
+        return pa.Table.from_arrays([*cols, pa.array(group.sizes), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), kept], names=[*(c for c in t.column_names if c not in ("g", "__text")), "n_bytes", "n_removed", "n_spans", "kept"])
 
     keys = texts.groupBy("g").applyInArrow(send_keys, "g long, bucket long, keys binary")
     lists = keys.groupBy("bucket").applyInArrow(repeated_keys, "g long, keys binary")
@@ -317,7 +318,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     solved = pieces.groupBy("bucket").applyInArrow(solve, "g long, bucket long, runs binary, lens binary, ids binary")
     both = lists.unionByName(solved, allowMissingColumns=True)
     carried = [(n, k) for n, k in dealt.dtypes if n not in ("g", "__text")]
-    schema = ", ".join(f"`{n}` {k}" for n, k in carried) + ", n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = ", ".join(f"`{n}` {k}" for n, k in carried) + ", n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
