@@ -9,7 +9,7 @@ import pyarrow as pa
 
 #: Characters of text whose distinct words are gathered together, and words spelt at a time.
 GROUP_BYTES = 8 << 20
-_WORDS = 1 << 20
+_WORDS = 1 << 19
 
 
 class Memo(dict):
@@ -24,11 +24,27 @@ class Memo(dict):
     def __missing__(self, key):
         if (value := self.old.get(key)) is None:
             value = self.make(key)
+        self._keep(key, value)
+        return value
+
+    def _keep(self, key, value) -> None:
         if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def many(self, keys: list) -> list:
+        """Values of distinct keys; ``make`` is called once, with all the keys that are lacking."""
+        found = list(map(self.get, keys))
+        lacking = [i for i, v in enumerate(found) if v is None]
+        for i in lacking:
+            found[i] = self.old.get(keys[i])
+        new = [i for i in lacking if found[i] is None]
+        for i, v in zip(new, self.make([keys[i] for i in new]), strict=True):
+            found[i] = v
+        for i in lacking:
+            self._keep(keys[i], found[i])
+        return found
 
 
 def groups(texts: pa.Array) -> Iterator[pa.Array]:

@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
 from .common import materialise, shared_path
-from .memo import groups, spell
+from .memo import Memo, groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
+#: Words of each generation that one worker remembers.
+MEMORY_ENTRIES = 400_000
 
 
 class WordIds:
@@ -46,6 +48,7 @@ class WordIds:
         self.t = Tokenizer.from_file(tokenizer_file(name_or_path))
         self.t.no_padding()
         self.t.no_truncation()
+        self.memo = Memo(self._words, MEMORY_ENTRIES)
 
     def _words(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
@@ -56,7 +59,7 @@ class WordIds:
         """Unsigned 32-bit ids of each text."""
         for some in groups(texts):
             split = pc.ascii_split_whitespace(some.cast(pa.large_string()))
-            yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), split.flatten().cast(pa.large_binary()), self._words)
+            yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), split.flatten().cast(pa.large_binary()), self.memo.many)
 
 
 @lru_cache(maxsize=2)
