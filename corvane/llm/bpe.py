@@ -35,6 +35,8 @@ from .memo import Memo, groups, spell
 TOKENIZER = "byte_bpe_50k.json"
 #: Pre-tokens of each generation that one worker remembers.
 MEMORY_ENTRIES = 200_000
+#: Rows encoded before they are handed on.
+ROWS = 1000
 #: Bits of an id, and of a place in a pre-token, in the numbers below.
 _ID, _AT = 20, 32
 _ID_MASK, _AT_MASK = (1 << _ID) - 1, (1 << _AT) - 1
@@ -168,38 +170,43 @@ def codec(name_or_path: str) -> Codec:
     return Codec(name_or_path)
 
 
-def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ``ids`` (array of int) for each row."""
+def _ids_array(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows), pa.int32()))
+
+
+def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """id and ``ids`` (array of int) for each row; with ``decoded`` also the text that the ids decode to."""
 
     def run(batches):
         c = codec(tokenizer)
         for b in batches:
-            rows = list(c.encode(b.column(1)))
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=[id_col, "ids"])
+            for i in range(0, b.num_rows, ROWS):
+                some = b.slice(i, ROWS)
+                rows = list(c.encode(some.column(1)))
+                more = [pa.array([c.decode(x.tolist()) for x in rows], pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([some.column(0), _ids_array(rows), *more], names=[id_col, "ids", "decoded"][: 2 + decoded])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>")
+    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id") -> DataFrame:
-    """id, ``ids`` and their ``decoded`` text."""
+    """id and the ``decoded`` text of ``ids``; null ids decode to an empty text."""
 
     def run(batches):
         c = codec(tokenizer)
         for b in batches:
-            texts = [c.decode(x.as_py()) if x.values is None else c.decode(x.values.to_numpy(zero_copy_only=False).tolist()) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
+            texts = pa.array([c.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else []) for x in b.column(1)], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), texts], names=[id_col, "decoded"])
 
     src = encoded.select(id_col, "ids")
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>, decoded string")
+    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, decoded string")
 
 
 def query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    both = decode(encode(docs))
-    return both.select(
+    return encode(docs, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

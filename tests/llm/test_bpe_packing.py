@@ -31,12 +31,14 @@ def docs(spark):
 
 def test_bpe_equals_library(spark, docs):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    got = sorted((r.doc_id, list(r.ids), r.decoded) for r in bpe.decode(bpe.encode(docs)).collect())
+    got = sorted((r.doc_id, list(r.ids), r.decoded) for r in bpe.encode(docs, decoded=True).collect())
     want = []
     for i, x in TEXTS:
         ids = t.encode(x or "", add_special_tokens=False).ids
         want.append((i, ids, t.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want)
+    again = bpe.decode(bpe.encode(docs)).collect()
+    assert sorted((r.doc_id, r.decoded) for r in again) == sorted((i, x) for i, _, x in want)
 
 
 def test_bpe_on_documents(spark):
