@@ -28,45 +28,42 @@ def build(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     The transform has a byte plus 1 for each symbol and ``END`` in front of whole
     strings. It starts with the empty suffixes, in the strings' order.
     """
-    m = len(starts)
+    m, n = len(starts), len(starts)
     bwt, lcp = np.zeros(m, np.uint8), np.zeros(m, np.uint8)
-    place = np.arange(m)
-    by_size = np.argsort(-sizes, kind="stable")  # the strings that reach round j come first
-    ends, place = (starts + sizes)[by_size], place[by_size]
-    reach = np.searchsorted(-sizes[by_size], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
-    for j, active in enumerate(reach.tolist(), 1):
-        symbol = data[ends[:active] - j] + np.uint8(1)
-        at = place[:active]
+    count = np.arange(m + int(sizes.sum()), dtype=np.int32)
+    at, left, ends = np.arange(m), sizes.copy(), starts + sizes  # of the strings that go on, in the order of their longest suffixes
+    for j in range(1, int(sizes.max(initial=0)) + 1):
+        if (left < j).any():
+            on = left >= j
+            at, left, ends = at[on], left[on], ends[on]
+        symbol = data[ends - j] + np.uint8(1)
         bwt[at] = symbol
-        n = len(bwt)
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
+        rank = np.empty(n, np.int32)
+        rank[order] = count[:n]
         r = rank[at]
-        new = r + (m - np.count_nonzero(bwt == END))
+        new = r + len(at)  # empty suffixes come first; m - len(at) strings have ended
         padded = np.append(lcp, np.uint8(0))
         before = order[r - 1]
-        same = (r > 0) & (bwt[before] == symbol)
-        ahead = np.zeros(active, np.uint8)
-        k = np.flatnonzero(same)
-        k = k[np.argsort(at[k])]
+        k = np.flatnonzero((r > 0) & (bwt[before] == symbol))
+        ahead = np.zeros(len(at), np.uint8)
         if len(k):
             ahead[k] = _least(padded, before[k] + 1, at[k] + 1) + np.uint8(1)
         after = order[np.minimum(r + 1, n - 1)]
-        same = (r + 1 < n) & (bwt[after] == symbol)
-        k = np.flatnonzero(same)
-        k = k[np.argsort(at[k])]
+        k = np.flatnonzero((r + 1 < n) & (bwt[after] == symbol))
         behind = _least(padded, at[k] + 1, after[k] + 1) + np.uint8(1) if len(k) else np.empty(0, np.uint8)
-        old = np.ones(n + active, bool)
+        n += len(at)
+        old = np.ones(n, bool)
         old[new] = False
-        merged = np.zeros(n + active, np.uint8)
+        merged = np.zeros(n, np.uint8)
         merged[old] = bwt
-        bwt, merged = merged, np.zeros(n + active, np.uint8)
+        bwt, merged = merged, np.empty(n, np.uint8)
         merged[old] = lcp
         merged[new] = ahead
         merged[new[k] + 1] = behind
         lcp = merged
-        place[:active] = new
+        turn = np.argsort(symbol, kind="stable")
+        at, left, ends = new[turn], left[turn], ends[turn]
     return bwt, lcp
 
 

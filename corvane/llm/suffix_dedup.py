@@ -42,7 +42,7 @@ LENGTH = 50
 KEY_BYTES = 20
 GROUP_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
-COLLECTION_BYTES = 1 << 18
+COLLECTION_BYTES = 1 << 16
 #: Groups in which a key occurs before it is divided.
 HOT_GROUPS = 2000
 NO_ID = np.iinfo(np.int64).max
@@ -94,12 +94,13 @@ class Group:
             return np.empty(0, np.uint64)
         return _smallest(_hashes(self.data, KEY_BYTES, seed), self.length - KEY_BYTES + 1)[self.at]
 
-    def keys(self, hot: np.ndarray | None = None) -> np.ndarray:
-        """Key of each string, even; those of ``hot`` are divided."""
-        k = self._keys(0) & ~np.uint64(1)
-        if hot is not None and len(hot) and (there := np.isin(k, hot)).any():
-            k = np.where(there, (k * _MIX[2] ^ self._keys(1)) & ~np.uint64(1), k)
-        return k
+    def keys(self) -> np.ndarray:
+        """Key of each string, even."""
+        return self._keys(0) & ~np.uint64(1)
+
+    def divided(self, keys: np.ndarray) -> np.ndarray:
+        """The keys of all strings by a second hash."""
+        return (keys * _MIX[2] ^ self._keys(1)) & ~np.uint64(1)
 
     def runs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first string, number of strings) of each piece."""
@@ -116,17 +117,30 @@ class Group:
 
     def pieces(self, repeated: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of the pieces with a repeated key: (first string, count, key, number of its distinct piece), and the distinct pieces."""
-        plain = self.keys()
-        may = np.isin(plain, repeated)
-        keys = self.keys(hot)
+        keys = self.keys()
         first, count = self.runs(keys)
-        on = may[first]
+        on = member(keys[first], repeated)
+        if len(hot) and (very := on & member(keys[first], hot)).any():
+            string = np.repeat(very, count)
+            keys = np.where(string, self.divided(keys), keys)
+            may = np.repeat(on, count)
+            first, count = self.runs(keys)
+            on = may[first]
         first, count = first[on], count[on]
         flat, sizes = gather(self.data, self.at[first], count + self.length - 1)
         coded = binary(flat, sizes).dictionary_encode()
         return first, count, keys[first], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
+def member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted array."""
+    if not len(among):
+        return np.zeros(len(keys), bool)
+    at = np.searchsorted(among, keys)
+    at[at == len(among)] = 0
+    return among[at] == keys
+
+
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The spans of ``data`` put together."""
     ends = np.cumsum(sizes)
@@ -248,17 +262,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         for b in np.unique(where).tolist():
             some = order[slice(*np.searchsorted(where, [b, b + 1]))]
             flat, _ = gather(data, starts[some], sizes[some])
-            rows.append((b, flat.tobytes(), sizes[some].astype(np.uint8).tobytes(), key[some].tobytes(), ids[some].tobytes()))
+            rows.append((b, _pack(flat), _pack(sizes[some].astype(np.uint8)), key[some].tobytes(), _pack(ids[some])))
         return _rows(rows, t.column("g")[0].as_py(), ("bucket", "pieces", "sizes", "piece_keys", "ids"))
 
     def solve(t: pa.Table) -> pa.Table:
-        sizes = [np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in t.column("sizes")]
-        flat = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in t.column("pieces")])
+        sizes = [_open(x, np.uint8).astype(np.int64) for x in t.column("sizes")]
+        flat = np.concatenate([_open(x, np.uint8) for x in t.column("pieces")])
         coded = binary(flat, np.concatenate(sizes)).dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False)
         n = len(coded.dictionary)
         ids, keys = np.full(n, NO_ID), np.zeros(n, np.uint64)
-        np.minimum.at(ids, which, np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in t.column("ids")]))
+        np.minimum.at(ids, which, np.concatenate([_open(x, np.int64) for x in t.column("ids")]))
         keys[which] = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t.column("piece_keys")])
         found = smallest_ids(coded.dictionary, keys, ids, length)
         counts = np.fromiter(map(len, found), np.int64, n)
@@ -276,7 +290,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             i += len(s)
             sent, _ = gather(run_ids, run_at[w], runs[w])
             lens, _ = gather(run_sizes, run_at[w], runs[w])
-            rows.append((t.column("bucket")[0].as_py(), runs[w].astype(np.uint8).tobytes(), lens.tobytes(), sent.tobytes(), g))
+            rows.append((t.column("bucket")[0].as_py(), _pack(runs[w].astype(np.uint8)), _pack(lens), _pack(sent), g))
         return pa.table({"g": pa.array([r[4] for r in rows], pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), **{n: pa.array([r[k] for r in rows], pa.binary()) for k, n in enumerate(("runs", "lens", "ids"), 1)}})
 
     def finish(t: pa.Table, both: pa.Table) -> pa.Table:
@@ -285,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         group = Group(t, length)
         lists, solved = both.filter(pa.compute.is_valid(both.column("keys"))), both.filter(pa.compute.is_valid(both.column("runs"))).sort_by("bucket")
         first, count, which, distinct, _, _, order, _ = distinct_pieces(group, lists)
-        runs, lens, ids = (np.concatenate([np.empty(0, k), *[np.frombuffer(x.as_py(), k) for x in solved.column(c)]]) for c, k in (("runs", np.uint8), ("lens", np.uint8), ("ids", np.int64)))
+        runs, lens, ids = (np.concatenate([np.empty(0, k), *[_open(x, k) for x in solved.column(c)]]) for c, k in (("runs", np.uint8), ("lens", np.uint8), ("ids", np.int64)))
         if len(runs) != len(distinct):
             raise RuntimeError("answers don't match the pieces that were sent")
         values = np.repeat(ids, lens)  # of each string of each distinct piece, in the order sent
@@ -296,10 +310,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         least, _ = gather(values, begin[which], count)
         string = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
         gone = group.at[string[least < group.ids[group.doc[string]]]]
-        edge = np.zeros(len(group.data) + 1, np.int32)
-        np.add.at(edge, gone, 1)
-        np.add.at(edge, gone + length, -1)
-        covered = np.cumsum(edge[:-1]) > 0
+        n = len(group.data)
+        covered = np.cumsum(np.bincount(gone, minlength=n)[:n] - np.bincount(gone + length, minlength=n)[:n]) > 0
         begins = covered.copy()
         begins[1:] &= ~covered[:-1]
         inner = group.starts[group.starts < len(covered)]
@@ -327,6 +339,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_removed", "n_spans", "kept")
 
 
+def _press(a: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(a).view(np.uint8), "zstd", asbytes=True) if len(a) else b""
+
+
+def _open(x: pa.Scalar, kind) -> np.ndarray:
+    """An array that ``_pack`` made."""
+    data = x.as_py()
+    n = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], n, "zstd"), kind) if n else np.empty(0, kind)
+
+
+def _pack(a: np.ndarray) -> bytes:
+    return a.nbytes.to_bytes(8, "little") + _press(a)
+
+
 def _rows(rows: list[tuple], g: int, names: tuple[str, ...]) -> pa.Table:
     """Rows of one group: its number, a bucket and binary columns."""
     kinds = [pa.int64(), *[pa.binary()] * (len(names) - 1)]
