@@ -1 +1 @@
-"""Part of the engine; see README."""
+"""Column functions over texts, names and result pages."""

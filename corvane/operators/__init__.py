@@ -1 +1 @@
-"""Part of the engine; see README."""
+"""Relational operators over observations: matching, agreement, cadence, identifiers and rates."""

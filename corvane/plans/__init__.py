@@ -1 +1 @@
-"""Part of the engine; see README."""
+"""Registered queries and their oracles."""

@@ -1 +1 @@
-"""Part of the engine; see README."""
+"""Scans and sinks of observation corpora, and connectors."""

@@ -1 +1 @@
-"""Part of the engine; see README."""
+"""Incremental ingestion and streaming forms of the operators."""
