@@ -153,7 +153,7 @@ def query(spark, sf_dir):
 
 _DOT = "list_sum(list_transform(range(1, len({0}) + 1), lambda i: {0}[i] * {1}[i]))"
 ORACLE = f"""
-WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v, {_DOT.format("embedding::DOUBLE[]", "embedding::DOUBLE[]")} AS n2 FROM embeddings),
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v, {_DOT.format("(embedding::DOUBLE[])", "(embedding::DOUBLE[])")} AS n2 FROM embeddings),
 l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id <> y.vec_id AND x.n2 > 0 AND y.n2 > 0
       AND {_DOT.format("x.v", "y.v")} >= 0.9 * sqrt(x.n2) * sqrt(y.n2)),
 r AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
