@@ -87,6 +87,14 @@ def organic_urls(page: Column, top_n: int = 10) -> Column:
     return F.slice(clean_links(every(REDIRECT_HREF), every(DIRECT_HREF), every(DATA_HREF)), 1, top_n)
 
 
+def quote_url(c: Column) -> Column:
+    """Percent-encoded for a URL path: as query encoding, but spaces as %20 and slashes and tildes kept."""
+    out = F.replace(F.url_encode(or_empty(c)), F.lit("+"), F.lit("%20"))
+    for code, char in (("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        out = F.replace(out, F.lit(code), F.lit(char))
+    return out
+
+
 def unescape_basic(page: Column) -> Column:
     """The five basic entities alone, without Python."""
     out = or_empty(page)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions.text import parse_error
+from corvane.functions.text import domain_tokens, flat, parse_error
 from corvane.sources.schema import OK
 
 
@@ -42,6 +42,19 @@ def citation_spans(rows: DataFrame, key: str = "business", date: str = "date_utc
     return cited.groupBy(key, "source").agg(F.min("d").alias("first_date"), F.max("d").alias("last_date"), F.count("*").alias("n_cited")).withColumn("days", F.date_diff("last_date", "first_date"))
 
 
+def rank_to_citation(pages: DataFrame, answers: DataFrame, by: list[str]) -> DataFrame:
+    """Beyond the observed corpus' own figures: each ranked result of a page, and how many answers to the same question name its domain.
+
+    ``pages`` has ``organic_top_results``, ``answers`` has ``names``; domain and
+    name meet by equality of the question and of the squashed name's tokens.
+    """
+    ranked = pages.select(*by, F.posexplode("organic_top_results").alias("at", "url")).withColumns({"rank": F.col("at") + 1, "tokens": domain_tokens(F.array("url"))})
+    named = answers.groupBy(*by).agg(F.collect_list(F.transform("names", flat)).alias("answers"))
+    hit = lambda names: F.exists(names, lambda n: F.exists(F.col("tokens"), lambda t: (F.length(t) >= 5) & F.contains(n, t)))
+    found = F.coalesce(F.size(F.filter("answers", hit)), F.lit(0)).cast("long")
+    return ranked.join(named, by, "left").select(*by, "rank", "url", found.alias("n_answers"))
+
+
 def date_gaps(dates: DataFrame, date: str, step_days: int) -> DataFrame:
     """Dates that follow the one before by more than ``step_days``."""
     seen = dates.select(F.col(date).cast("date").alias("day")).distinct()

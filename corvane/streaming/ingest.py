@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.operators import cadence
 from corvane.sources.schema import OBSERVATION
 
 
+#: What is kept: every field of an observation, and the file that it came from.
+STORED = T.StructType([*OBSERVATION.fields, T.StructField("file_name", T.StringType())])
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED).parquet(path)
+
+
 def stream(spark: SparkSession, path: str, files_per_trigger: int = 10_000) -> DataFrame:
     """New files of a JSON corpus as a stream, with their names."""
     rows = spark.readStream.schema(OBSERVATION).option("multiLine", True).option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger).json(path)
@@ -22,10 +31,11 @@ def append_batch(batch: DataFrame, path: str, reject_backdated: bool = True) ->
     run again after a failure adds nothing twice.
     """
     spark = batch.sparkSession
-    new = batch.dropDuplicates(["check_id"])
+    whole = spark.createDataFrame([], STORED).unionByName(batch, allowMissingColumns=True).select(*STORED.names)
+    new = whole.dropDuplicates(["check_id"])
     rejected = new.limit(0)
     try:
-        kept = spark.read.parquet(path)
+        kept = stored(spark, path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
@@ -48,7 +58,7 @@ def ingest(spark: SparkSession, source: str, path: str, checkpoint: str, reject_
 
 
 def cadence_now(spark: SparkSession, path: str, **options) -> DataFrame:
-    return cadence.plan(spark.read.parquet(path), **options)
+    return cadence.plan(stored(spark, path), **options)
 
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -199,3 +199,15 @@ def test_windowed_counts(spark, tmp_path):
     q = ingest.windowed_counts(spark.readStream.schema(src.schema).parquet(f"{tmp_path}/in"), "1 day").writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select sum(n) from counted").first()[0] == src.count()
+
+
+def test_rank_to_citation(spark):
+    pages = spark.createDataFrame([("q", ["https://www.kennedy-painting.com/", "https://other.org/"])], "business string, organic_top_results array<string>")
+    answers = spark.createDataFrame([("q", ["Kennedy Painting"]), ("q", ["Nobody"]), ("z", ["Other"])], "business string, names array<string>")
+    got = {r["rank"]: r.n_answers for r in metrics.rank_to_citation(pages, answers, ["business"]).collect()}
+    assert got == {1: 1, 2: 0}
+
+
+def test_flip_rate(spark):
+    rows = spark.createDataFrame([("a", 1, True, "x"), ("a", 2, None, "x"), ("a", 3, False, "y"), ("a", 4, True, "y")], "k string, run int, business_mentioned boolean, answer_verbatim string")
+    assert tuple(metrics.flip_rate(rows, ["k"], ["run"]).first()) == (1, 1, 1)

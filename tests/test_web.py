@@ -38,3 +38,11 @@ def test_overview(spark):
     pages = [None, "", "an AI Overview", "search?q=" + "x" * 20000, "search?q=", "ai overview" + "x" * 30000]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i long, h string")
     assert [r.o for r in df.select("i", web.overview_detected(F.col("h")).alias("o")).orderBy("i").collect()] == [None, None, True, False, None, None]
+
+
+def test_quote(spark):
+    from urllib.parse import quote
+
+    texts = ["a b/c~*'(x)!", "é?&=+%", "", "日本-_."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    assert [r.q for r in df.select("i", web.quote_url(F.col("t")).alias("q")).orderBy("i").collect()] == [quote(t) for t in texts]
