@@ -10,8 +10,8 @@ their cosine in double precision, so nothing below the threshold is linked.
 The count is calibrated on simulated pairs that lie exactly at the threshold:
 the largest count that still finds ``recall`` of them. As the directions are
 random, this holds for any pair of vectors; closer pairs are found more surely.
-Window collisions grow with the square of the rows, divided by how thin the
-tails are: raise ``directions`` with the data.
+Window collisions grow with the square of the rows, times how thin the tails
+are; so the number of directions grows with the root of the rows.
 
 Equal vectors are collapsed to their smallest id before any of this and counted,
 so copies are never expanded into pairs.
@@ -36,17 +36,24 @@ from .common import materialise
 from .graph import connected_components
 
 THRESHOLD = 0.9
-DIRECTIONS = 16_384
+#: Directions that are drawn and applied at a time.
+BLOCK = 16_384
+#: Vectors for which one block is enough; blocks grow with the root of what is above.
+ROWS_PER_BLOCK = 50_000
 TOPS = 6
 WINDOW = 0.5
 RECALL = 0.99
-_BLOCK = 256
+_ROWS = 256
 
 
-@lru_cache(maxsize=2)
-def directions(dim: int, n: int, seed: int = 11) -> np.ndarray:
-    """n random directions; a random unit vector's projections have mean 0 and deviation 1."""
-    r = np.random.default_rng([seed, dim]).standard_normal((n, dim))
+def blocks_for(rows: int) -> int:
+    return max(1, round((rows / ROWS_PER_BLOCK) ** 0.5))
+
+
+@lru_cache(maxsize=4)
+def directions(dim: int, block: int, seed: int = 11) -> np.ndarray:
+    """A block of random directions; a random unit vector's projections have mean 0 and deviation 1."""
+    r = np.random.default_rng([seed, dim, block]).standard_normal((BLOCK, dim))
     return np.ascontiguousarray((r / np.linalg.norm(r, axis=1, keepdims=True) * dim**0.5).T, np.float32)
 
 
@@ -55,7 +62,7 @@ def _outer(z: np.ndarray, tops: int) -> np.ndarray:
     return np.argpartition(-np.abs(z), tops - 1, axis=1)[:, :tops]
 
 
-def calibrate(dim: int, threshold: float, n: int, tops: int, window: float, recall: float, pairs: int = 1000, seed: int = 5) -> tuple[float, int]:
+def calibrate(dim: int, threshold: float, blocks: int, tops: int, window: float, recall: float, pairs: int = 1000, seed: int = 5) -> tuple[float, int]:
     """(smallest |z| that need be listed, count): of simulated pairs at the threshold, ``recall`` reach the count, which is 1 at least."""
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((pairs, dim))
@@ -63,13 +70,19 @@ def calibrate(dim: int, threshold: float, n: int, tops: int, window: float, reca
     o = rng.standard_normal((pairs, dim))
     o -= (o * x).sum(1, keepdims=True) * x
     o /= np.maximum(np.linalg.norm(o, axis=1, keepdims=True), 1e-300)
-    y, r, counts, low = threshold * x + (1 - threshold**2) ** 0.5 * o, directions(dim, n), np.zeros(pairs, int), np.inf
-    for i in range(0, pairs, _BLOCK):
-        zx, zy = (v[i : i + _BLOCK].astype(np.float32) @ r for v in (x, y))
-        for a, b in ((zx, zy), (zy, zx)):
-            at = _outer(a, tops)
-            za, zb = np.take_along_axis(a, at, 1), np.take_along_axis(b, at, 1)
-            counts[i : i + _BLOCK] += ((np.abs(za - zb) <= window) & (np.sign(za) == np.sign(zb))).sum(1)
+    y, counts, low = threshold * x + (1 - threshold**2) ** 0.5 * o, np.zeros(pairs, int), np.inf
+    for i in range(0, pairs, _ROWS):
+        some = [v[i : i + _ROWS].astype(np.float32) for v in (x, y)]
+        best = [np.empty((len(some[0]), 0)) for _ in range(4)]  # of x its own outermost and the other's there, and of y
+        for block in range(blocks):
+            zx, zy = (v @ directions(dim, block) for v in some)
+            for k, (a, b) in enumerate(((zx, zy), (zy, zx))):
+                at = _outer(a, tops)
+                za, zb = (np.concatenate((best[2 * k + m], np.take_along_axis(z, at, 1)), 1) for m, z in ((0, a), (1, b)))
+                at = _outer(za, tops)
+                best[2 * k], best[2 * k + 1] = np.take_along_axis(za, at, 1), np.take_along_axis(zb, at, 1)
+        for za, zb in (best[:2], best[2:]):
+            counts[i : i + _ROWS] += ((np.abs(za - zb) <= window) & (np.sign(za) == np.sign(zb))).sum(1)
             low = min(low, float(np.abs(za).min()) - window)
     return low, max(1, int(np.sort(counts)[int((1 - recall) * pairs)]))
 
@@ -79,7 +92,7 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def project(distinct: DataFrame, n: int, tops: int, lows: dict[int, float]) -> DataFrame:
+def project(distinct: DataFrame, blocks: int, tops: int, lows: dict[int, float]) -> DataFrame:
     """Of (id, v): rows (direction, z, id, asks) with |z|; ``asks`` marks a vector's outermost directions."""
 
     def run(batches):
@@ -88,27 +101,36 @@ def project(distinct: DataFrame, n: int, tops: int, lows: dict[int, float]) -> D
             sizes = np.diff(vectors.offsets.to_numpy())
             flat, starts = vectors.values.to_numpy(), vectors.offsets.to_numpy()[:-1]
             for dim in np.unique(sizes).tolist():
-                rows, r = np.flatnonzero(sizes == dim), directions(dim, n)
-                for i in range(0, len(rows), _BLOCK):
-                    some = rows[i : i + _BLOCK]
+                rows = np.flatnonzero(sizes == dim)
+                for i in range(0, len(rows), _ROWS):
+                    some = rows[i : i + _ROWS]
                     v = flat[starts[some][:, None] + np.arange(dim)]
                     v = v / np.abs(v).max(1, keepdims=True)
-                    z = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32) @ r
-                    asks = np.zeros(z.shape, bool)
-                    np.put_along_axis(asks, _outer(z, tops), True, 1)
-                    k, d = np.nonzero((np.abs(z) >= lows[dim]) | asks)
-                    at = z[k, d]
-                    key = ((np.int64(dim) * n + d) * 2 + (at < 0)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.abs(at)), pa.array(ids[some][k]), pa.array(asks[k, d])], names=["direction", "z", "id", "asks"])
+                    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+                    found = []
+                    for block in range(blocks):
+                        z = v @ directions(dim, block)
+                        listed = np.abs(z) >= lows[dim]
+                        np.put_along_axis(listed, _outer(z, tops), True, 1)
+                        k, d = np.nonzero(listed)
+                        found.append((k, d + block * BLOCK, z[k, d]))
+                    k, d, z = map(np.concatenate, zip(*found, strict=True))
+                    order = np.lexsort((-np.abs(z), k))
+                    k, d, z = k[order], d[order], z[order]
+                    asks = np.arange(len(k)) - np.searchsorted(k, k) < tops
+                    key = (np.int64(dim) << 40) + d.astype(np.int64) * 2 + (z < 0)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.abs(z)), pa.array(ids[some][k]), pa.array(asks)], names=["direction", "z", "id", "asks"])
 
     return distinct.select("id", "v").mapInArrow(run, "direction long, z float, id long, asks boolean")
 
 
-def links(distinct: DataFrame, threshold: float = THRESHOLD, n: int = DIRECTIONS, tops: int = TOPS, window: float = WINDOW, recall: float = RECALL) -> DataFrame:
+def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int | None = None, tops: int = TOPS, window: float = WINDOW, recall: float = RECALL) -> DataFrame:
     """Verified pairs (a < b) of (id, v), v an array of double, each id once."""
-    fitted = {r["d"]: calibrate(r["d"], threshold, n, tops, window, recall) for r in distinct.select(F.size("v").alias("d")).distinct().collect()}
+    dims = {r["d"]: r["n"] for r in distinct.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+    blocks = blocks or blocks_for(max(dims.values(), default=1))
+    fitted = {d: calibrate(d, threshold, blocks, tops, window, recall) for d in dims}
     least = min((count for _, count in fitted.values()), default=1)
-    listed = materialise(project(distinct, n, tops, {d: low for d, (low, _) in fitted.items()}))
+    listed = materialise(project(distinct, blocks, tops, {d: low for d, (low, _) in fitted.items()}))
     q = listed.filter("asks").select(F.col("direction").alias("q_direction"), F.col("z").alias("q_z"), F.col("id").alias("q_id"))
     near = (F.col("direction") == F.col("q_direction")) & (F.abs(F.col("z") - F.col("q_z")) <= F.lit(window).cast("float")) & (F.col("id") != F.col("q_id"))
     met = q.join(listed, near).select(F.least("id", "q_id").alias("a"), F.greatest("id", "q_id").alias("b"))

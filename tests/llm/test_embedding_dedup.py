@@ -52,8 +52,8 @@ def test_repeated_ids_and_empty(spark):
     assert _run(spark, []) == []
 
 
-@pytest.mark.parametrize("cos", [0.9, 0.93])
-def test_recall_at_the_threshold(spark, cos):
+@pytest.mark.parametrize("cos,blocks", [(0.9, None), (0.93, None), (0.9, 2)])
+def test_recall_at_the_threshold(spark, cos, blocks):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -61,5 +61,9 @@ def test_recall_at_the_threshold(spark, cos):
     o -= (o * x).sum(1, keepdims=True) * x
     y = (cos + 1e-6) * x + (1 - cos**2) ** 0.5 * o / np.linalg.norm(o, axis=1, keepdims=True)
     rows = [(2 * i, v.tolist()) for i, v in enumerate(x)] + [(2 * i + 1, v.tolist()) for i, v in enumerate(y)]
-    pairs = ed.links(spark.createDataFrame(rows, "id long, v array<double>")).collect()
+    pairs = ed.links(spark.createDataFrame(rows, "id long, v array<double>"), blocks=blocks).collect()
     assert sum(1 for p in pairs if p.b == p.a + 1 and p.a % 2 == 0) >= 0.97 * 300
+
+
+def test_blocks_grow_with_the_root_of_the_rows():
+    assert [ed.blocks_for(n) for n in (0, 50_000, 200_000, 5_000_000)] == [1, 1, 2, 10]
