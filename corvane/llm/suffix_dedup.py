@@ -14,8 +14,8 @@ strings thus always meet, and a collection takes at most 98 rounds. Keys that
 occur in one document alone cannot repeat and are left out first; keys that
 occur in very many groups of documents are divided by a second, independent
 hash. Equal pieces are merged, keeping their smallest id, in each group and
-again in each collection, so copies cost one string. A collection's columns are
-held in memory, as its size is bounded (``COLLECTION_BYTES`` of distinct pieces
+again in each collection, so copies cost one string, and a key whose pieces are
+all equal has nothing left to compare. A collection's columns are held in memory, as its size is bounded (``COLLECTION_BYTES`` of distinct pieces
 or one key): a machine-local file is lost with its executor, and a shared one
 would be rewritten every round.
 
@@ -45,6 +45,7 @@ BUCKET_BYTES = 8 << 20
 COLLECTION_BYTES = 1 << 16
 #: Groups in which a key occurs before it is divided.
 HOT_GROUPS = 2000
+_BLOCK = 1 << 14
 NO_ID = np.iinfo(np.int64).max
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -90,9 +91,12 @@ class Group:
         self.at = np.arange(len(self.doc)) + (self.starts - first)[self.doc]
 
     def _keys(self, seed: int) -> np.ndarray:
-        if not len(self.at):
-            return np.empty(0, np.uint64)
-        return _smallest(_hashes(self.data, KEY_BYTES, seed), self.length - KEY_BYTES + 1)[self.at]
+        n = max(0, len(self.data) - self.length + 1)
+        out = np.empty(n, np.uint64)
+        for i in range(0, n, _BLOCK):  # small enough to stay in the processor's cache
+            m = min(_BLOCK, n - i)
+            out[i : i + m] = _smallest(_hashes(self.data[i : i + m + self.length - 1], KEY_BYTES, seed), self.length - KEY_BYTES + 1)
+        return out[self.at]
 
     def keys(self) -> np.ndarray:
         """Key of each string, even."""
@@ -163,15 +167,22 @@ def spans_of(a: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each distinct piece, with its key and smallest id: of each of its strings the smallest id that holds it."""
+    """For each distinct piece, with its key and smallest id: of each of its strings the smallest id that holds it.
+
+    A key with a single piece has no other to be compared with: its strings are
+    held by the piece's smallest id. The others are read off the transforms of
+    whole keys, of about ``COLLECTION_BYTES`` together.
+    """
     data, starts, sizes = spans_of(pieces)
     counts = sizes - length + 1
-    flat, at = np.empty(counts.sum(), np.int64), np.cumsum(counts) - counts
+    flat, at = np.repeat(ids, counts), np.cumsum(counts) - counts
     order = np.argsort(keys, kind="stable")
-    total = np.cumsum(sizes[order])
     last = np.append(keys[order][1:] != keys[order][:-1], True) if len(keys) else np.empty(0, bool)
+    several = ~(last & np.append(True, last[:-1]))
+    order, last = order[several], last[several]
+    total = np.cumsum(sizes[order])
     i = 0
-    while i < len(order):  # whole keys, of about COLLECTION_BYTES together
+    while i < len(order):
         j = int(np.searchsorted(total, (total[i - 1] if i else 0) + COLLECTION_BYTES, side="right"))
         j = max(i, min(j, len(order) - 1))
         j += int(np.argmax(last[j:])) + 1
