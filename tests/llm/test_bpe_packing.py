@@ -103,3 +103,34 @@ def test_packing_query(spark):
             assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
             at += r.length
         assert at == len(ids) == mine[0].doc_tokens
+
+
+def test_memory_and_groups_change_nothing(monkeypatch):
+    import pyarrow as pa
+
+    from corvane.llm import memo
+
+    monkeypatch.setattr(memo, "GROUP_BYTES", 40)
+    monkeypatch.setattr(memo, "_WORDS", 7)
+    monkeypatch.setattr(bpe, "MEMORY_ENTRIES", 3)
+    monkeypatch.setattr(packing, "MEMORY_ENTRIES", 3)
+    texts = [t for _, t in TEXTS if t is None or len(t) < 1000] * 3
+    b, w = bpe.Codec(), packing.WordIds("word_bpe_49k.json")
+    tb, tw = (Tokenizer.from_file(P.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    for mine, lib in ((b.encode, tb), (w.encode, tw)):
+        got = [x.tolist() for x in mine(pa.array(texts, pa.string()))]
+        assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_white_space_never_cut():
+    """Random mixes of white space, letters, digits and marks against the library."""
+    import random
+
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    chars = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0   ​   　aZé1٣!'’s中́"
+    texts = ["".join(rnd.choice(chars) for _ in range(rnd.randrange(40))) for _ in range(1500)]
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = [x.tolist() for x in bpe.Codec().encode(pa.array(texts))]
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
