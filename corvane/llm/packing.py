@@ -39,7 +39,10 @@ class WordIds:
     """Ids by the tokenizers library, each distinct run of non-space bytes encoded once.
 
     This tokenizer drops white space and no token or normalisation reaches
-    across it, so runs between ASCII white space encode alone.
+    across it, so runs between ASCII white space encode alone. Nor does any
+    reach from an ASCII letter to a comma or full stop, and it lowers case: a
+    space between the former, and lower ASCII letters where no special token
+    could come of it, change no id and leave fewer distinct runs.
     """
 
     def __init__(self, name_or_path: str):
@@ -58,7 +61,10 @@ class WordIds:
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         for some in groups(texts):
-            split = pc.ascii_split_whitespace(some.cast(pa.large_string()))
+            apart = pc.replace_substring_regex(some.cast(pa.large_string()), r"([A-Za-z])([,.])", r"\1 \2")
+            if not pc.any(pc.match_substring(apart, "<|")).as_py():
+                apart = pc.ascii_lower(apart)
+            split = pc.ascii_split_whitespace(apart)
             yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), split.flatten().cast(pa.large_binary()), self.memo.many)
 
 

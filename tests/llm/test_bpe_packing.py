@@ -134,3 +134,18 @@ def test_white_space_never_cut():
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     got = [x.tolist() for x in bpe.Codec().encode(pa.array(texts))]
     assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_set_apart_change_no_id():
+    """Random mixes of letters of every case, marks, commas, stops and pieces of special tokens against the library."""
+    import random
+
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    parts = [*"aEÉéIİıKßẞ.,1٣中 \nΣ…", "É", "́", "..", "'s", "'S", "'LL", "<|", "|>", "<|STARTOFTEXT|>", "<|endoftext|>", "x.", "Y,"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(25))) for _ in range(3000)]
+    lib, mine = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.WordIds("word_bpe_49k.json")
+    for some in ([t for t in texts if "<|" not in t], texts):
+        for got, t in zip(mine.encode(pa.array(some)), some, strict=True):
+            assert got.tolist() == lib.encode(t, add_special_tokens=False).ids
