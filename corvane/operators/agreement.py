@@ -47,12 +47,20 @@ def pairs(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     return groups.select(*by, F.explode(both).alias("p")).select(*by, F.col("p.a").alias("a"), F.col("p.b").alias("b"))
 
 
-def pair_fields(a: Column, b: Column) -> dict[str, Column]:
-    """The fields of a pair; the terser answer is the one with fewer names, on ties the first."""
-    first = F.size(a["names"]) <= F.size(b["names"])
-    terser, verbose = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
+def scored(found: DataFrame) -> DataFrame:
+    """Adds the terser answer (fewer names, on ties the first), the other one, and how many names they share.
+
+    Columns of their own, so that the names are compared once for all the fields that depend on it.
+    """
+    first = F.size("a.names") <= F.size("b.names")
+    sided = found.withColumns({"terser": F.when(first, F.col("a")).otherwise(F.col("b")), "verbose": F.when(first, F.col("b")).otherwise(F.col("a"))})
+    return sided.withColumn("shared", hits(F.col("terser.canonical_names"), F.col("verbose.canonical_names")))
+
+
+def pair_fields() -> dict[str, Column]:
+    """The fields of a scored pair."""
+    a, b, terser, verbose, shared = (F.col(c) for c in ("a", "b", "terser", "verbose", "shared"))
     n_t, n_v = F.size(terser["names"]).cast("long"), F.size(verbose["names"]).cast("long")
-    shared = hits(terser["canonical_names"], verbose["canonical_names"])
     suspect = (shared == 0) & (n_t > 0) & (n_v > 0)
     named = [F.coalesce(x["business_mentioned"], F.lit(False)) for x in (a, b)]
     return {
@@ -77,13 +85,13 @@ def pair_fields(a: Column, b: Column) -> dict[str, Column]:
 
 
 def pair_agreement(rows: DataFrame, by: list[str], order: str) -> DataFrame:
-    return pairs(rows, by, order).select(*by, F.col("a")[order].alias("order_a"), F.col("b")[order].alias("order_b"), *[c.alias(n) for n, c in pair_fields(F.col("a"), F.col("b")).items()])
+    fields = [c.alias(n) for n, c in pair_fields().items()]
+    return scored(pairs(rows, by, order)).select(*by, F.col("a")[order].alias("order_a"), F.col("b")[order].alias("order_b"), *fields)
 
 
 def agreement_rows(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     """A row per group with its engines, number of usable answers and array of pairs, in order."""
-    fields = list(pair_fields(F.col("a"), F.col("b")).items())
-    found = pairs(rows, by, order).select(*by, F.struct(F.col("a")[order].alias("i"), F.col("b")[order].alias("j"), F.struct(*[c.alias(n) for n, c in fields]).alias("pair")).alias("p"))
+    found = scored(pairs(rows, by, order)).select(*by, F.struct(F.col("a")[order].alias("i"), F.col("b")[order].alias("j"), F.struct(*[c.alias(n) for n, c in pair_fields().items()]).alias("pair")).alias("p"))
     listed = found.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["pair"]).alias("pairs"))
     groups = usable(rows).groupBy(*by).agg(F.array_sort(F.collect_set("engine")).alias("engines_compared"), F.count("*").alias("engines_usable"))
     return groups.join(listed, by, "left").withColumns({"pairs": F.coalesce("pairs", F.array().cast(listed.schema["pairs"].dataType)), "row_type": F.lit("agreement"), "method_note": F.lit(METHOD_NOTE)})

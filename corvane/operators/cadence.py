@@ -19,18 +19,17 @@ def _first_three(c: Column) -> Column:
 
 
 def latest_two(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """A row per key: number of rows, and the latest and the previous one as structs.
+    """A row per key: the latest and the previous row as structs, and how many of these there are.
 
-    Kept by aggregation with a bounded state (the two greatest by ``order``), so
-    a subject with very many rows is reduced before the shuffle.
+    As only the first two ranks are kept, each task drops all but two rows of a
+    subject before the shuffle, however many rows a subject has.
     """
     fields = ["date_utc", *[c for c in order if c != "date_utc"], "business_mentioned", "sources_cited", "competitors_mentioned"]
     row = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c == "date_utc" else F.col(c) for c in fields])
-    top = rows.select(*key, row.alias("r"))
     w = Window.partitionBy(*key).orderBy(*[F.col("r")[c].desc() for c in order])
-    ranked = top.withColumn("rank", F.row_number().over(w)).withColumn("n_rows", F.count("*").over(Window.partitionBy(*key))).filter("rank <= 2")
+    ranked = rows.select(*key, row.alias("r")).withColumn("rank", F.row_number().over(w)).filter("rank <= 2")
     pick = lambda k: F.max(F.when(F.col("rank") == k, F.col("r")))
-    return ranked.groupBy(*key).agg(F.max("n_rows").alias("n_rows"), pick(1).alias("curr"), pick(2).alias("prev"))
+    return ranked.groupBy(*key).agg(F.count("*").alias("n_rows"), pick(1).alias("curr"), pick(2).alias("prev"))
 
 
 def compare(two: DataFrame) -> DataFrame:
