@@ -33,6 +33,10 @@ class Memo(dict):
             self.clear()
         self[key] = value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def many(self, keys: list) -> list:
         """Values of distinct keys; ``make`` is called once, with all the keys that are lacking."""
         found = list(map(self.get, keys))

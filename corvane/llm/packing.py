@@ -101,6 +101,7 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
                     done += k
             arrays = [b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total, pa.int64()), pa.array([part] * len(at), pa.int64()), pa.array(nth, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "start", "length", "ids", "doc_tokens", "part", "nth"])
+        t.memo.forget()  # the worker lives on, for other work too
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long")

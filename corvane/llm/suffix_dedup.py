@@ -40,7 +40,7 @@ from .collection_bwt import classes
 
 LENGTH = 50
 KEY_BYTES = 20
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 COLLECTION_BYTES = 1 << 16
 #: Groups in which a key occurs before it is divided.
@@ -85,7 +85,7 @@ class Group:
         self.sizes = np.array([len(r[1]) for r in rows], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
-        self.doc = np.repeat(np.arange(len(rows)), np.maximum(self.sizes - length + 1, 0))  # of each string
+        self.doc = np.repeat(np.arange(len(rows), dtype=np.int32), np.maximum(self.sizes - length + 1, 0))  # of each string
         ends = np.cumsum(np.maximum(self.sizes - length + 1, 0))
         first = ends - np.maximum(self.sizes - length + 1, 0)
         self.at = np.arange(len(self.doc)) + (self.starts - first)[self.doc]

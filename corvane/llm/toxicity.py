@@ -38,6 +38,8 @@ PREFIXES = (4, 5)
 FEATURES = 8192
 LEAST_Z = 3.0
 FACTORS = 8
+#: Rows scored before they are handed on.
+ROWS = 1000
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -158,13 +160,16 @@ def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> D
             return tuple(position[b] for b in buckets_of(w) if b in position)
 
         for b in batches:
-            present = []
-            for t in b.column(b.num_columns - 1):
-                present.append(list(set().union(*map(of_word, set(words(t.as_py()))))))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(machine.scores(present))], names=[*b.schema.names[:-1], "score"])
-
-    src = docs.select(*(keep or ["doc_id"]), F.col("text").cast("string").alias("__text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[:-1]) + ", score double"
+            for i in range(0, b.num_rows, ROWS):
+                some = b.slice(i, ROWS)
+                present = [list(set().union(*map(of_word, set(words(t.as_py()))))) for t in some.column(at)]
+                yield pa.RecordBatch.from_arrays([*some.columns[: len(kept)], pa.array(machine.scores(present))], names=[*kept, "score"])
+
+    kept = keep or ["doc_id"]
+    src = docs.select(*kept, *([] if "text" in kept else ["text"]))
+    src = src.withColumn("text", F.col("text").cast("string"))
+    at = src.columns.index("text")
+    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[: len(kept)]) + ", score double"
     return src.mapInArrow(run, schema)
 
 
