@@ -72,7 +72,7 @@ def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_
 
     # the picked ids are at most most_rows pairs of numbers
     found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", F.col("text").cast("string")).mapInArrow(run, "toxic int, terms binary")
-    rows = sorted((bytes(r["terms"]), r["toxic"]) for r in found.collect())[:most_rows]
+    rows = sorted(map(tuple, found.select("terms", "toxic").collect()))[:most_rows]
     return [np.frombuffer(t, np.int32) for t, _ in rows], np.array([float(y > 0) for _, y in rows])
 
 
@@ -99,8 +99,9 @@ class Machine:
 
 def select_features(found: list[np.ndarray], y: np.ndarray, most: int = FEATURES, least_z: float = LEAST_Z) -> np.ndarray:
     """Buckets whose document shares differ between the classes by ``least_z`` standard errors."""
-    pos = np.bincount(np.concatenate([t for t, k in zip(found, y, strict=True) if k] or [np.empty(0, np.int32)]), minlength=BUCKETS)
-    neg = np.bincount(np.concatenate([t for t, k in zip(found, y, strict=True) if not k] or [np.empty(0, np.int32)]), minlength=BUCKETS)
+    pos, neg = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+    for t, k in zip(found, y, strict=True):  # a row names each bucket once
+        (pos if k else neg)[t] += 1
     n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
     share = (pos + neg) / (n1 + n0)
     z = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
