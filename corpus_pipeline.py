@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import packing, simhash, suffix_dedup
+from corvane.llm import packing, shingle_dedup, suffix_dedup
 from corvane.llm import toxicity as tox
 from corvane.llm.common import shared_path
 
@@ -25,8 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked fingerprints."""
-    return simhash.deduplicate(docs.select(*COLUMNS))
+    """The document with the smallest id of each group linked by a similarity of five-word shingles of 0.8 or more."""
+    return shingle_dedup.deduplicate(docs.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,180 @@
+"""Near-duplicates by an exact join on sets of word shingles.
+
+Two texts are linked if the Jaccard similarity of their sets of shingles (five
+words, or the whole of a shorter text) is at least 0.8. All shingles have one
+order, those of rarely used buckets first. Of two linked sets each holds at
+least 0.8 of its shingles in the other, so both have one of their first
+``n - ceil(0.8 n) + 1`` in common (prefix filter). What shares such a shingle
+is verified on the whole sets: first each set with the smallest of its group,
+then, in groups that are still in several components, the pairs across
+components. So each link either is found or joins what is joined already, and a
+large group of near copies isn't expanded into pairs. Equal sets are one.
+
+Buckets are counted in a table of fixed size, which reaches the driver; counts
+only order, no shingle is left out. Shingles and sets are told apart by 64-bit
+hashes. Texts without words have equal sets; otherwise as in ``simhash``.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialise, shared_path
+from .graph import connected_components
+from .simhash import keep_least, row_keys
+
+SHINGLE = 5
+SIMILARITY = 0.8
+SEED = 42
+BUCKETS = 1 << 20
+#: Bits of the table that tells which rows a verification may need.
+BITMAP = 1 << 24
+_BLOCK = 1 << 14
+_ROWS = 512
+
+
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; none for a text without words."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()  # bytes: A-Z alone, and exactly space and 9 to 13
+    if not words:
+        return np.zeros(0, "<i8")
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-1])).tolist()
+    ends = (ends - 1)[shingle - 1 :].tolist() or [len(joined)]
+    digest = xxhash.xxh64_digest
+    return np.unique(np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=False)]), "<i8"))
+
+
+def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str, shingle: int, only: np.ndarray | None = None) -> DataFrame:
+    """id, key (of the set), n, hashes, k0 and k1 of each row; with ``only``, a bitmap, of rows whose k0 is in it.
+
+    Hashes take as much room as texts; they are made anew where needed instead of being stored.
+    """
+    import xxhash
+
+    def run(batches):
+        for b in batches:
+            if only is not None:
+                at = b.column(2).to_numpy() & (BITMAP - 1)
+                b = b.filter(pa.array((only[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            for i in range(0, b.num_rows, _ROWS):
+                some = b.slice(i, _ROWS)
+                found = [shingles(t.as_py(), shingle) for t in some.column(1)]
+                raw = [h.tobytes() for h in found]
+                key = np.array([xxhash.xxh64_intdigest(h, SEED) for h in raw], np.uint64).view(np.int64)
+                arrays = [some.column(0), pa.array(key), pa.array([len(h) for h in found], pa.int64()), pa.array(raw, pa.binary()), *some.columns[2:]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "key", "n", "hashes", "k0", "k1"])
+
+    k0, k1 = row_keys(id_col, text_col)
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), k0.alias("k0"), k1.alias("k1"))
+    return src.mapInArrow(run, "id long, key long, n long, hashes binary, k0 long, k1 long")
+
+
+def _bucket_counts(sets: DataFrame) -> np.ndarray:
+    def count(batches):
+        total = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for i in range(0, b.num_rows, _ROWS):
+                hashes = np.frombuffer(b"".join(b.column(0).slice(i, _ROWS).to_pylist()), "<i8")
+                np.add.at(total, hashes & (BUCKETS - 1), 1)
+        blocks = np.flatnonzero(total.reshape(-1, _BLOCK).any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([total[k * _BLOCK : (k + 1) * _BLOCK].tobytes() for k in blocks], pa.binary())], names=["block", "counts"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, "<i8") for c in t["counts"].to_pylist())
+        return pa.table({"block": t["block"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "block long, counts binary"
+    out = np.zeros(BUCKETS, np.int64)
+    for r in sets.select("hashes").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect():
+        out[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(r["counts"], "<i8")
+    return out
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
+    """(h, key, n): the first shingles of each set, in the order of (count of the bucket, hash)."""
+    counts = np.minimum(counts, 2**31 - 1).astype(np.int32)
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, _ROWS):
+                some, h = b.slice(i, _ROWS), []
+                for raw in some.column(2).to_pylist():
+                    found = np.frombuffer(raw, "<i8")
+                    order = np.argsort(counts[found & (BUCKETS - 1)], kind="stable")  # hashes are sorted
+                    h.append(found[order[: prefix_length(len(found), similarity)]] if len(found) else found)
+                at = pa.array(np.repeat(np.arange(len(h)), [len(x) for x in h]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), some.column(0).take(at), some.column(1).take(at)], names=["h", "key", "n"])
+
+    return sets.select("key", "n", "hashes").mapInArrow(run, "h long, key long, n long")
+
+
+def _verified(hashed: Callable, rows: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sets are similar; written to the shared folder. ``rows``: key and k0 of each row."""
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_py(), "<i8") for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    one = materialise(rows.join(needed, "key", "left_semi").groupBy("key").agg(F.min("k0").alias("k0")))  # of equal sets one row is read
+    at = F.col("k0").bitwiseAND(BITMAP - 1)
+    bits = one.select(F.shiftright(at, 15).alias("block"), at.bitwiseAND(32767).alias("bit")).groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
+    only = np.zeros(BITMAP // 8, np.uint8)
+    for r in bits.collect():
+        only[r["block"] * 4096 : (r["block"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    held = hashed(only).select("key", "k0", "hashes").join(one, ["key", "k0"], "left_semi").dropDuplicates(["key"])
+    a, b = (held.select(F.col("key").alias(f"key_{x}"), F.col("hashes").alias(f"hashes_{x}")) for x in "ab")
+    both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, F.col("b") == F.col("key_b")).select("a", "b", "hashes_a", "hashes_b")
+    return materialise(both.mapInArrow(run, "a long, b long"))
+
+
+def links(hashed: Callable, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) keys of similar sets, enough of them to connect all that are. ``sets``: key and k0 of each row; ``hashed`` makes the hashes."""
+    rows = _prefixes(hashed(), _bucket_counts(hashed()), similarity).repartition(F.col("h")).dropDuplicates(["h", "key"])
+    groups = rows.groupBy("h").agg(F.min(F.struct("key", "n")).alias("first"), F.max("key").alias("last")).filter("first.key < last")
+    shared = materialise(rows.join(groups.select("h", "first"), "h").select("h", "key", "n", F.col("first.key").alias("lead"), F.col("first.n").alias("lead_n")))
+    alike = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) - 1e-9
+    stars = shared.filter((F.col("key") != F.col("lead")) & alike(F.col("n"), F.col("lead_n"))).select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
+    found = _verified(hashed, sets, materialise(stars), similarity)
+    comp = connected_components(found)
+    placed = shared.join(comp, F.col("key") == F.col("node"), "left").select("h", "key", "n", "lead", F.coalesce("component", "key").alias("c"))
+    mixed = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
+    rest = materialise(placed.join(mixed, "h", "left_semi").filter("key <> lead"))  # pairs with the lead are settled
+    a, b = (rest.select(F.col("h").alias(f"h_{x}"), F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}")) for x in "ab")
+    across = a.join(b, (F.col("h_a") == F.col("h_b")) & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & alike(F.col("n_a"), F.col("n_b")))
+    return found.unionByName(_verified(hashed, sets, materialise(across.select("a", "b").distinct()), similarity))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, each once; those without an id stay unless they link to one with."""
+    path = shared_path(docs.sparkSession, "sets")
+    _hashed(docs, id_col, text_col, shingle).drop("n", "hashes").write.parquet(path)
+    sets = docs.sparkSession.read.parquet(path)
+    named = docs.filter(F.col(id_col).isNotNull())
+    reps = sets.groupBy("key").agg(F.min("id").alias("rep"))
+    pairs = links(lambda only=None: _hashed(named, id_col, text_col, shingle, only), sets.filter("id is not null"), similarity)
+    a, b = (reps.select(F.col("key").alias(f"key_{x}"), F.col("rep").alias(f"rep_{x}")) for x in "ab")
+    pairs = pairs.join(a, F.col("a") == F.col("key_a")).join(b, F.col("b") == F.col("key_b"))
+    comp = connected_components(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    found = reps.join(comp, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    rows = sets.select("id", "key", "k0", "k1").join(found, "key").select(F.col("id").alias(id_col), "component_id", "k0", "k1")
+    return keep_least(docs, rows, id_col, text_col)

@@ -95,20 +95,29 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fp.join(found, "fp").select(id_col, "fp", "component_id", *[c for c in fp.columns if c not in (id_col, "fp")])
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, each once; those without an id stay unless they link to one with.
+def row_keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """Two hashes of id and text, by which rows are told apart."""
+    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit("row"), text_col, id_col)
+
+
+def keep_least(docs: DataFrame, comp: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is their ``component_id``, each once. ``comp``: id, component_id and the ``row_keys`` k0, k1.
 
-    Rows are told apart by two hashes of id and text; texts are shuffled once, by these.
+    Texts are shuffled once, by the keys.
     """
     names = ("__k0", "__k1")
-    keys = (F.xxhash64(id_col, text_col), F.xxhash64(F.lit("row"), text_col, id_col))
-    comp = components(docs, id_col, text_col, bits, keys)
+    keys = row_keys(id_col, text_col)
     keep = comp.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("k0").alias("__k0"), F.col("k1").alias("__k1")).distinct()
     found = docs.withColumns(dict(zip(names, keys, strict=True))).join(keep.hint("merge"), list(names), "left_semi")
     once = found.withColumn("__nth", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1)))).filter("__nth = 1")
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, each once; those without an id stay unless they link to one with."""
+    return keep_least(docs, components(docs, id_col, text_col, bits, row_keys(id_col, text_col)), id_col, text_col)
+
+
 def query(spark, sf_dir):
     out = components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,0 +1,75 @@
+"""The near-duplicate stage against brute force on five-word shingles."""
+
+import random
+from collections import defaultdict
+
+import corpus_pipeline as cp
+import pytest
+
+from corvane.llm import shingle_dedup
+
+
+def _set(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def _kept(texts):
+    """Ids that are the smallest of their component; ``texts``: {id: text}."""
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets, holders = {i: _set(t) for i, t in texts.items()}, defaultdict(list)
+    pairs = {(min(b), i) for i, s in sets.items() if not s and (b := [j for j in sets if not sets[j]])}
+    for i, s in sets.items():
+        for x in s:
+            holders[x].append(i)
+    pairs |= {(i, j) for h in holders.values() for i in h for j in h if i < j}
+    for i, j in pairs:
+        both = len(sets[i] & sets[j])
+        if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return {i for i in texts if find(i) == i}
+
+
+def _edited(rnd, words, n):
+    out = list(words)
+    for i in rnd.sample(range(len(out)), n):
+        out[i] = f"e{rnd.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    texts, common = ["", " \n", "one", "One", "a b c d e", "a b c d e f"], [f"c{i}" for i in range(60)]
+    for n in (6, 20, 100, 100, 400):
+        for _ in range(6):
+            words = [f"w{rnd.randrange(10**9)}" for _ in range(n)] + common * rnd.randrange(2)
+            texts += [" ".join(words), *(" ".join(_edited(rnd, words, k)) for k in {1, max(1, n // 50), max(1, n // 25)})]
+    chain = [f"k{i}" for i in range(300)]  # each close to the next, the ends far apart
+    for k in range(12):
+        texts.append(" ".join([f"x{i}" if i < 8 * k else w for i, w in enumerate(chain)]))
+    rnd.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in shingle_dedup.deduplicate(docs).collect()} == _kept(dict(enumerate(texts)))
+
+
+def test_stage_links_what_fingerprints_miss(spark):
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    got = [r.doc_id for r in cp.near_duplicates(spark, docs, d).collect()]
+    assert len(got) == len(set(got)) and set(got) == _kept({r.doc_id: r.text for r in docs.collect()})
+
+
+def test_fixture(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "other words here"), (2, "other words here"), (None, "a b c d"), (None, "alone it is"), (None, "alone it is"), (7, None), (8, "")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, n int, key int")
+    got = shingle_dedup.deduplicate(docs)
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted([(1, "a b c d"), (2, "other words here"), (None, "alone it is"), (7, None)], key=str)
+    assert got.columns == docs.columns and shingle_dedup.deduplicate(docs.limit(0)).count() == 0
