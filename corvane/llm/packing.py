@@ -41,8 +41,10 @@ class WordIds:
     This tokenizer drops white space and no token or normalisation reaches
     across it, so runs between ASCII white space encode alone. Nor does any
     reach from an ASCII letter to a comma or full stop, and it lowers case: a
-    space between the former, and lower ASCII letters where no special token
-    could come of it, change no id and leave fewer distinct runs.
+    space between the former, and lower case in runs of ASCII alone in which no
+    special token can be, change no id and leave fewer distinct runs. Other runs
+    stay as they are: characters are composed first, and some small letters
+    compose with a mark while their capitals don't.
     """
 
     def __init__(self, name_or_path: str):
@@ -62,10 +64,11 @@ class WordIds:
         """Unsigned 32-bit ids of each text."""
         for some in groups(texts):
             apart = pc.replace_substring_regex(some.cast(pa.large_string()), r"([A-Za-z])([,.])", r"\1 \2")
-            if not pc.any(pc.match_substring(apart, "<|")).as_py():
-                apart = pc.ascii_lower(apart)
             split = pc.ascii_split_whitespace(apart)
-            yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), split.flatten().cast(pa.large_binary()), self.memo.many)
+            words = split.flatten()
+            plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
+            words = pc.if_else(plain, pc.ascii_lower(words), words)
+            yield from spell(split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), words.cast(pa.large_binary()), self.memo.many)
 
 
 @lru_cache(maxsize=2)

@@ -149,3 +149,14 @@ def test_words_set_apart_change_no_id():
     for some in ([t for t in texts if "<|" not in t], texts):
         for got, t in zip(mine.encode(pa.array(some)), some, strict=True):
             assert got.tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+def test_capitals_with_marks_keep_their_ids():
+    import pyarrow as pa
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = [f"{w} Plain WORD, {w}x A{w}." for w in ("J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "\u00c9", "E\u0301")]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for other in ([], ["<|endoftext|> A<|B"]):
+        got = list(packing.word_ids(packing.TOKENIZER).encode(pa.array(texts + other)))
+        assert [g.tolist() for g in got] == want + [t.encode(x, add_special_tokens=False).ids for x in other]
