@@ -66,7 +66,7 @@ def base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     count = {p: F.when(F.contains(padded, F.lit(f" {p} ")), F.regexp_count(padded, F.lit(f" {p}(?= )"))).otherwise(0) for p in phrases}
     either = "|".join(phrases)
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-    before = lambda star: spaces(F.regexp_extract(padded, f"^({star}) (?:{either})(?= )", 1)).cast("long")
+    before = lambda star: spaces(F.regexp_extract(padded, f"(?s)^({star}) (?:{either})(?= )", 1)).cast("long")
     d = d.withColumn("n_base", sum(count.values()).cast("long"))
     labels = F.array_compact(F.array(*[F.when(F.contains(padded, F.lit(f" {p} ")), label) for p, label in phrases.items()]))
     return d.select(

@@ -46,3 +46,9 @@ def test_license_scan(spark):
     want = sorted(((i // 2, *_brute(t)) for i, t in enumerate(texts)), key=str)
     assert got == want
     assert ls.scan(docs.limit(0)).count() == 0
+
+
+def test_license_places_beyond_line_separators(spark):
+    texts = [f"a b{c} c MIT License d{c} e cc by f" for c in ("\x85", "\u2028", "\u2029")] + [f"x {c} MIT License" for c in ("\x85", "\u2028", "\u2029")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(tuple(r) for r in ls.scan(docs).collect()) == [(i, *_brute(t)) for i, t in enumerate(texts)]
