@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .memo import Memo, groups, spell
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Pre-tokens of each generation that one worker remembers.
-MEMORY_ENTRIES = 200_000
+#: Bytes of each generation of pre-tokens that one worker remembers.
+MEMORY_BYTES = 64 << 20
 #: Rows encoded before they are handed on.
 ROWS = 1000
 #: Bits of an id, and of a place in a pre-token, in the numbers below.
@@ -81,7 +81,7 @@ class Codec:
         for s, i in strings.items():
             self.strings[i] = bytes(back[c] for c in s) if all(c in back for c in s) else s.encode()
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo = Memo(lambda t: array("i", self.merge(t.encode())).tobytes(), MEMORY_ENTRIES)
+        self.memo = Memo(lambda t: array("i", self.merge(t.encode())).tobytes(), MEMORY_BYTES)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""

@@ -12,14 +12,20 @@ GROUP_BYTES = 8 << 20
 _WORDS = 1 << 19
 
 
+#: About what a remembered word costs besides its bytes and its ids: two objects and their place in the table.
+_ENTRY_BYTES = 200
+#: Words longer than this are made anew each time.
+LONGEST = 256
+
+
 class Memo(dict):
-    """A table that makes what it lacks, of two generations of at most ``entries`` each.
+    """A table that makes what it lacks, of two generations of at most ``most_bytes`` each, keys and values included.
 
     What is used again moves on, the rest is forgotten. Results never depend on what is remembered.
     """
 
-    def __init__(self, make: Callable, entries: int):
-        self.make, self.entries, self.old = make, entries, {}
+    def __init__(self, make: Callable, most_bytes: int):
+        self.make, self.most_bytes, self.held, self.old = make, most_bytes, 0, {}
 
     def __missing__(self, key):
         if (value := self.old.get(key)) is None:
@@ -28,14 +34,18 @@ class Memo(dict):
         return value
 
     def _keep(self, key, value) -> None:
-        if len(self) >= self.entries:
+        if (n := len(key)) > LONGEST:
+            return
+        if self.held >= self.most_bytes:
             self.old = dict(self)
             self.clear()
+            self.held = 0
         self[key] = value
+        self.held += n + len(value) + _ENTRY_BYTES
 
     def forget(self) -> None:
         self.clear()
-        self.old = {}
+        self.held, self.old = 0, {}
 
     def many(self, keys: list) -> list:
         """Values of distinct keys; ``make`` is called once, with all the keys that are lacking."""

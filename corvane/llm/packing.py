@@ -13,6 +13,8 @@ itself; an empty table gives an empty result. Extra columns are not carried.
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,39 +23,56 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
-from .common import materialise, shared_path
+from .common import materialise
 from .memo import Memo, groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
-#: Words of each generation that one worker remembers.
-MEMORY_ENTRIES = 400_000
+#: Bytes of each generation of words that one worker remembers.
+MEMORY_BYTES = 96 << 20
+#: Counts (part, length) of at most this many rows, of 24 bytes each, are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+#: How a tokenizer must normalise and split for words to be encoded apart (fixed values).
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def word_by_word(spec: dict) -> bool:
+    """Whether a tokenizer's specification lets ``WordIds`` encode each run of non-space bytes for itself."""
+    special = all("<|" in t["content"] and not re.search(r"\s", t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in spec.get("added_tokens", []))
+    return special and spec.get("normalizer") == _NORMALIZER and spec.get("pre_tokenizer") == _PRE_TOKENIZER and spec["model"].get("dropout") is None
 
 
 class WordIds:
-    """Ids by the tokenizers library, each distinct run of non-space bytes encoded once.
-
-    This tokenizer drops white space and no token or normalisation reaches
-    across it, so runs between ASCII white space encode alone. Nor does any
-    reach from an ASCII letter to a comma or full stop, and it lowers case: a
-    space between the former, and lower case in runs of ASCII alone in which no
-    special token can be, change no id and leave fewer distinct runs. Other runs
-    stay as they are: characters are composed first, and some small letters
-    compose with a mark while their capitals don't.
+    """Ids by the tokenizers library.
+
+    A tokenizer specified as ``word_by_word`` tells drops white space, and no
+    token or normalisation reaches across it, so each distinct run between ASCII
+    white space is encoded once. Nor does any reach from an ASCII letter to a
+    comma or full stop, and case is lowered: a space between the former, and
+    lower case in runs of ASCII alone in which no special token can be, change no
+    id and leave fewer distinct runs. Other runs stay as they are: characters are
+    composed first, and some small letters compose with a mark while their
+    capitals don't. With any other tokenizer each text is encoded whole.
     """
 
     def __init__(self, name_or_path: str):
         from tokenizers import Tokenizer
 
-        self.t = Tokenizer.from_file(tokenizer_file(name_or_path))
+        path = tokenizer_file(name_or_path)
+        with open(path, encoding="utf-8") as f:
+            self.apart = word_by_word(json.load(f))
+        self.t = Tokenizer.from_file(path)
         self.t.no_padding()
         self.t.no_truncation()
-        self.memo = Memo(self._words, MEMORY_ENTRIES)
+        self.memo = Memo(self._words, MEMORY_BYTES)
 
     def _words(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
@@ -63,6 +82,9 @@ class WordIds:
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         for some in groups(texts):
+            if not self.apart:
+                yield from (np.frombuffer(x, "<u4") for t in some for x in self._words([t.as_py()]))
+                continue
             apart = pc.replace_substring_regex(some.cast(pa.large_string()), r"([A-Za-z])([,.])", r"\1 \2")
             split = pc.ascii_split_whitespace(apart)
             words = split.flatten()
@@ -114,16 +136,21 @@ def number(pieces: DataFrame) -> DataFrame:
     """Replaces ``part`` and ``nth`` by ``sequence_id`` and ``offset``. ``pieces`` must be materialised.
 
     A piece is the ``nth`` of its length in its task's part; each part numbers on
-    from the parts before it. Only the counts (parts x lengths) reach the driver
-    and are broadcast; no piece is shuffled.
+    from the parts before it, by a running sum over the counts of each length.
+    Only the totals (a row per length) reach the driver. The running sums are
+    broadcast up to ``BROADCAST_ROWS`` and joined by shuffle beyond.
     """
-    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n")).collect()
-    rows, total = [], 0
-    for r in sorted(counts, key=lambda r: (-r["length"], r["part"])):
-        rows.append((r["length"], r["part"], total))
+    counts = materialise(pieces.groupBy("length", "part").agg(F.count("*").alias("n")))
+    before, total = {}, 0
+    for r in sorted(counts.groupBy("length").agg(F.sum("n").alias("n")).collect(), reverse=True):
+        before[r["length"]] = total
         total += r["n"]
-    first = pieces.sparkSession.createDataFrame(rows, "length long, part long, first long")
-    numbered = pieces.join(F.broadcast(first), ["length", "part"])
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.lit(None).cast("long")
+    for length, at in before.items():
+        start = F.when(F.col("length") == length, at).otherwise(start)
+    first = counts.select("length", "part", (start + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("first"))
+    numbered = pieces.join(F.broadcast(first) if counts.count() <= BROADCAST_ROWS else first, ["length", "part"])
     kept = [c for c in pieces.columns if c not in ("part", "nth")]
     return numbered.select(*kept, (F.col("first") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
@@ -131,10 +158,7 @@ def number(pieces: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, digest: bool = False, **options) -> DataFrame:
     """Numbered pieces with their ``ids``; with ``digest`` their CRC-32 instead, so ids are never stored."""
     pieces = cut(docs, **options)
-    if digest:
-        return number(materialise(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
-    pieces.write.parquet(path := shared_path(docs.sparkSession, "pieces"))
-    return number(docs.sparkSession.read.parquet(path))
+    return number(materialise(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids") if digest else pieces))
 
 
 def query(spark, sf_dir):

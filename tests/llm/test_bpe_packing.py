@@ -112,8 +112,8 @@ def test_memory_and_groups_change_nothing(monkeypatch):
 
     monkeypatch.setattr(memo, "GROUP_BYTES", 40)
     monkeypatch.setattr(memo, "_WORDS", 7)
-    monkeypatch.setattr(bpe, "MEMORY_ENTRIES", 3)
-    monkeypatch.setattr(packing, "MEMORY_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 1000)
+    monkeypatch.setattr(packing, "MEMORY_BYTES", 1000)
     texts = [t for _, t in TEXTS if t is None or len(t) < 1000] * 3
     b, w = bpe.Codec(), packing.WordIds("word_bpe_49k.json")
     tb, tw = (Tokenizer.from_file(P.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -160,3 +160,44 @@ def test_capitals_with_marks_keep_their_ids():
     for other in ([], ["<|endoftext|> A<|B"]):
         got = list(packing.word_ids(packing.TOKENIZER).encode(pa.array(texts + other)))
         assert [g.tolist() for g in got] == want + [t.encode(x, add_special_tokens=False).ids for x in other]
+
+
+def test_memory_is_bounded_in_bytes():
+    from corvane.llm.memo import LONGEST, Memo
+
+    made = []
+    m = Memo(lambda k: made.append(k) or k.encode(), 10_000)
+    for i in range(1000):
+        assert m[f"word{i}"] == b"word%d" % i
+        assert m["x" * (LONGEST + 1)] == b"x" * (LONGEST + 1)
+        assert sum(len(k) for t in (m, m.old) for k in t) < 20_000 and len(m) + len(m.old) <= 100
+    assert made.count("x" * (LONGEST + 1)) == 1000
+
+
+def test_long_distinct_words(spark):
+    """Words too long to be remembered, all different."""
+    import random
+
+    rnd = random.Random(1)
+    texts = [" ".join("".join(rnd.choice("abcXYZ019+/") for _ in range(10_000)) for _ in range(3)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tb, tw = (Tokenizer.from_file(P.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    assert {r.doc_id: list(r.ids) for r in bpe.encode(docs).collect()} == {i: tb.encode(t).ids for i, t in enumerate(texts)}
+    assert all(r.doc_tokens == len(tw.encode(texts[r.doc_id]).ids) + 1 for r in packing.pack(docs).collect())
+
+
+def test_other_tokenizer_encodes_whole_texts(spark, docs):
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert not packing.word_ids("byte_bpe_50k.json").apart and packing.word_ids(packing.TOKENIZER).apart
+    by_doc = _check_pieces(packing.pack(docs, tokenizer="byte_bpe_50k.json").collect(), TEXTS)
+    for i, x in TEXTS[:10]:
+        want = np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert b"".join(bytes(r.ids) for r in sorted(by_doc[i], key=lambda r: r.start)) == want
+
+
+def test_numbers_by_shuffle_are_the_same(spark, docs, monkeypatch):
+    want = sorted((r.doc_id, r.start, r.length, r.sequence_id) for r in packing.pack(docs.repartition(5, "doc_id")).collect())
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    rows = packing.pack(docs.repartition(5, "doc_id")).collect()
+    _check_pieces(rows, TEXTS)
+    assert sorted((r.doc_id, r.start, r.length, r.sequence_id) for r in rows) == want
