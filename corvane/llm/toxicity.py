@@ -6,14 +6,18 @@ each bucket a weight and a vector; the inner product of two vectors weighs the
 pair, so an insult next to the mention of a group can count for more, or less,
 than the two apart.
 
-The machine is fitted on the driver to a bounded sample of labelled rows
-(``most_rows``, those with the smallest hash of their id; of a row only its
-distinct buckets are sent, and rows with over ``most_terms`` are left to
-scoring). Scoring is a narrow step over every whole text. Labels, languages,
+The machine is fitted on the driver to a bounded sample of labelled rows: those
+with the smallest hash, up to ``most_rows`` rows and ``most_bytes`` of text
+(of a row only its distinct buckets are sent, at most 2 bytes for each byte of
+text); texts of over ``longest`` bytes teach nothing and are scored like any.
+Parameters are given to buckets that differ between the classes by themselves,
+and to those of pairs of frequent buckets that differ more together than either
+does alone. Scoring is a narrow step over every whole text. Labels, languages,
 sources and ids are never inputs of a score.
 
 Defined results: null and empty texts get the score of a text without terms;
-repeated rows get equal scores; labels that are null or held out teach nothing,
+repeated rows get equal scores and teach once; rows of equal hash tie and go
+together; labels that are null or held out teach nothing,
 and without both classes every score is the share of toxic rows (0 if none);
 a null id is not held out; an empty table gives an empty result. Extra columns
 are not carried.
@@ -31,12 +35,16 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 20
 THRESHOLD = 0.3
+#: Bounds of the sample: rows, bytes of text together, and bytes of one text.
 MOST_ROWS = 20_000
-MOST_TERMS = 20_000
+MOST_BYTES = 96 << 20
+LONGEST = 1 << 20
 PREFIXES = (4, 5)
 #: Buckets that may get parameters: those whose share differs most between the classes.
 FEATURES = 8192
 LEAST_Z = 3.0
+#: Frequent buckets whose pairs are screened, the least difference of a pair, how far it must exceed its members', and buckets taken so.
+PAIR_TERMS, PAIR_Z, PAIR_GAIN, PAIR_FEATURES = 1024, 6.0, 2.0, 512
 FACTORS = 8
 #: Rows scored before they are handed on.
 ROWS = 1000
@@ -60,20 +68,26 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_terms: int = MOST_TERMS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Terms and labels of at most ``most_rows`` rows that aren't held out."""
+def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES, longest: int = LONGEST) -> tuple[list[np.ndarray], np.ndarray]:
+    """Terms and labels of a bounded number of distinct rows that aren't held out."""
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most_rows)
+    picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most_rows)  # pairs of numbers
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = rows.select(F.xxhash64("doc_id", "toxic", "text").alias("key"), "toxic", "text", F.octet_length("text").alias("size")).filter(F.col("size") <= longest)
+    sizes = rows.groupBy("key").agg(F.max("size").alias("size")).orderBy("key").limit(most_rows).collect()  # an id may have any number of rows
+    n = int(np.searchsorted(np.cumsum([r["size"] for r in sizes]), most_bytes, side="right"))
+    if not n:
+        return [], np.empty(0)
 
     def run(batches):
+        seen = set()
         for b in batches:
-            rows = [(y, t) for y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if len(t := terms(x)) <= most_terms]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([t.tobytes() for _, t in rows], pa.binary())], names=["toxic", "terms"])
+            some = [(k, y, terms(x).tobytes()) for k, y, x in zip(*(c.to_pylist() for c in b.columns), strict=True) if not (k in seen or seen.add(k))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in some], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["key", "toxic", "terms"])
 
-    # the picked ids are at most most_rows pairs of numbers
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", F.col("text").cast("string")).mapInArrow(run, "toxic int, terms binary")
-    rows = sorted(map(tuple, found.select("terms", "toxic").collect()))[:most_rows]
-    return [np.frombuffer(t, np.int32) for t, _ in rows], np.array([float(y > 0) for _, y in rows])
+    chosen = rows.filter(F.col("key") <= sizes[n - 1]["key"]).select("key", "toxic", "text")
+    found = sorted(map(tuple, chosen.mapInArrow(run, "key long, toxic int, terms binary").dropDuplicates(["key"]).collect()))
+    return [np.frombuffer(t, np.int32) for _, _, t in found], np.array([float(y > 0) for _, y, _ in found])
 
 
 class Machine:
@@ -97,17 +111,41 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logit(rows, cols, len(present)), -30, 30)))
 
 
+def _difference(pos: np.ndarray, neg: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Standard errors by which shares of the classes differ; 0 for what fewer than three rows hold."""
+    share = (pos + neg) / (n1 + n0)
+    z = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+    z[pos + neg < 3] = 0
+    return z
+
+
+def _telling_pairs(found: list[np.ndarray], y: np.ndarray, z: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Buckets of pairs whose joint share differs more between the classes than either bucket's; ``rows``: rows of each bucket."""
+    often = np.sort(np.argsort(-rows, kind="stable")[:PAIR_TERMS])
+    often = often[rows[often] >= 3]
+    both = np.zeros((2, len(often), len(often)), np.float32)
+    for label in (0, 1):
+        some = [t for t, k in zip(found, y, strict=True) if bool(k) == bool(label)]
+        for i in range(0, len(some), 1000):
+            held = np.zeros((len(some[i : i + 1000]), len(often)), np.float32)
+            for row, t in zip(held, some[i : i + 1000], strict=True):
+                row[np.isin(often, t, assume_unique=True)] = 1
+            both[label] += held.T @ held
+    apart = _difference(both[1], both[0], max(1.0, y.sum()), max(1.0, len(y) - y.sum()))
+    single = z[often]
+    a, b = np.nonzero(np.triu((apart >= PAIR_Z) & (apart >= np.maximum(single[:, None], single) + PAIR_GAIN), 1))
+    order = np.argsort(-apart[a, b], kind="stable")
+    return often[list(dict.fromkeys(np.stack((a[order], b[order]), 1).ravel().tolist()))[:PAIR_FEATURES]]
+
+
 def select_features(found: list[np.ndarray], y: np.ndarray, most: int = FEATURES, least_z: float = LEAST_Z) -> np.ndarray:
-    """Buckets whose document shares differ between the classes by ``least_z`` standard errors."""
+    """Buckets whose document shares differ between the classes by ``least_z`` standard errors, and those of telling pairs."""
     pos, neg = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
     for t, k in zip(found, y, strict=True):  # a row names each bucket once
         (pos if k else neg)[t] += 1
-    n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
-    share = (pos + neg) / (n1 + n0)
-    z = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-    z[pos + neg < 3] = 0
+    z = _difference(pos, neg, max(1.0, y.sum()), max(1.0, len(y) - y.sum()))
     best = np.argsort(-z, kind="stable")[:most]
-    return np.sort(best[z[best] >= least_z])
+    return np.union1d(best[z[best] >= least_z], _telling_pairs(found, y, z, pos + neg))
 
 
 def fit(found: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs: int = 40, rate: float = 0.03, decay: float = 2e-4, seed: int = 7) -> Machine:
