@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,9 @@ def ascii_lower(c: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (single-machine tests) a folder is made.
+    Only where that setting is absent and Spark runs in one process (tests) a
+    folder is made; on a cluster its absence is an error, as executors would write
+    to folders that the driver can't see.
     """
     found = spark.sparkContext.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corvane-shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
@@ -49,5 +54,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a table below the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
