@@ -15,8 +15,9 @@ version line, recovers what follows and logs the byte gap that it skipped.
 Defined results: a null payload is empty; an empty payload is a payload like
 any other; rows that repeat an id and its payload are all responses when the id
 is the payload's smallest; a null page id is ordered after all others and is
-read back as null; long payloads stay whole; an empty table gives empty
-results. Extra columns are not carried.
+read back as null; long payloads and URLs stay whole (headers of over
+``HEADER_BYTES`` are quarantined); an empty table gives empty results. Extra
+columns are not carried.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ VERSION = b"WARC/1.1"
 ARCHIVE_BYTES = 32 << 20
 #: Bytes that the reader asks for at a time.
 CHUNK = 1 << 17
+#: The longest headers of a record that the reader takes.
+HEADER_BYTES = 1 << 24
+#: Revisits of at most this many rows, of about 60 bytes each, are broadcast to the pages; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _DATE = b"2024-01-01T00:00:00Z"
@@ -85,9 +90,9 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
         if len(data) < 10 and VERSION[:5].startswith(data[:5]):
             raise EOFError
         raise Bad("version line")
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
     if end < 0:
-        if len(data) > 1 << 16:
+        if len(data) >= HEADER_BYTES:
             raise Bad("headers")
         raise EOFError
     head = {}
@@ -196,12 +201,15 @@ def _open(path: str):
 
 
 def plan(pages: DataFrame, id_col="page_id", url_col="url", payload_col="html", min_bytes: int = 0) -> DataFrame:
-    """Pages with ``refers_to`` (null for responses). Only ids and digests are grouped; payloads follow by id."""
+    """Pages with ``refers_to`` (null for responses). Only ids and digests are grouped; if revisits are few, payloads stay where they are."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     keys = rows.select("page_id", F.sha1(F.encode("payload", "UTF-8")).alias("sha"), F.octet_length("payload").alias("n")).filter(F.col("n") >= min_bytes)
     first = keys.groupBy("sha", "n").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies")).filter("copies > 1")
     later = keys.join(first, ["sha", "n"]).filter("refers_to is not null and not (page_id <=> refers_to)").select(F.col("page_id").alias("later_id"), F.col("sha").alias("later_sha"), "refers_to").distinct()
+    later = materialise(later)
+    if later.count() <= BROADCAST_ROWS:
+        later = F.broadcast(later)
     on = F.col("page_id").eqNullSafe(F.col("later_id")) & (F.sha1(F.encode("payload", "UTF-8")) == F.col("later_sha"))
     return rows.join(later, on, "left").select("page_id", "url", "payload", "refers_to")
 
@@ -270,7 +278,8 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
 
 def query(spark, sf_dir):
     manifest = write(spark.read.parquet(f"{sf_dir}/pages.parquet"), shared_path(spark, "warc"))
-    records = read(manifest, payloads=False).filter("kind = 'record'")
+    gap = F.raise_error(F.format_string("bytes %d to %d of %s can't be read back: %s", "at", "gap_end", "path", "reason"))
+    records = read(manifest, payloads=False).filter(F.when(F.col("kind") == "gap", gap.cast("boolean")).otherwise(True))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -65,3 +65,42 @@ def test_salvage_plain():
     out = list(warc.salvage(io.BytesIO(r[0] + bad + r[2])))
     assert [x[1]["x-page-id"] for x in out if x[0] == "record"] == ["0", "2"]
     assert [x[1:3] for x in out if x[0] == "gap"] == [(len(r[0]), len(r[0] + bad))]
+
+
+def test_long_headers_and_payloads_in_plain_archives():
+    """A URL longer than the reader's window, before and after a damaged record."""
+    raw = b"body" * 100_000
+    url = "http://a/" + "x" * 300_000
+    r = [warc.record(i, url, raw, warc.sha1_base32(raw)) for i in range(4)]
+    bad = r[1].replace(b"bodybody", b"bodXbody", 1)
+    out = list(warc.salvage(io.BytesIO(r[0] + bad + r[2] + r[3])))
+    assert [x[1]["x-page-id"] for x in out if x[0] == "record"] == ["0", "2", "3"]
+    assert [x[1:3] for x in out if x[0] == "gap"] == [(len(r[0]), len(r[0] + bad))]
+
+
+def test_revisits_by_shuffle_are_the_same(spark, monkeypatch):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string, path int").repartition(3)
+    want = sorted(map(tuple, warc.plan(pages).collect()), key=str)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, warc.plan(pages).collect()), key=str) == want
+
+
+def test_a_gap_fails_the_query(spark, monkeypatch, tmp_path):
+    import pytest
+
+    pages = spark.createDataFrame(PAGES[:5], "page_id long, url string, html string, path int")
+    pages.select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.query(spark, str(tmp_path)).count() == 5
+    made = warc.write
+
+    def damaged(pages, folder):
+        manifest = made(pages, folder)
+        for r in manifest.collect():
+            with open(r.path.removeprefix("file:"), "r+b") as f:
+                f.seek(30)
+                f.write(b"\0\0\0\0")
+        return manifest
+
+    monkeypatch.setattr(warc, "write", damaged)
+    with pytest.raises(Exception, match="can't be read back"):
+        warc.query(spark, str(tmp_path)).collect()
