@@ -30,10 +30,15 @@ def test_bloom_never_misses(spark):
     assert out.n == 5000 and out.wrong == 0 and out.p < 5300
 
 
-def _brute(text, threshold=ls.THRESHOLD):
+def _brute(text):
     words = ls.words_of(text or "") if text else []
     places = [(i, label) for p, label in ls.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
-    fits = [(label, len(s & set(w)) / len(w)) for line in (text or "").split("\n") for s in [set(ls.words_of(line))] for _, label, w, need in ls.template_rows() if len(s & set(w)) >= need]
+    fits = []
+    for _, label, w, need, must, stride in ls.template_rows():
+        for i in range(0, len(words), stride):
+            held = set(words[i : i + 2 * stride])
+            if len(held & set(w)) >= need and held >= set(must):
+                fits.append((label, len(held & set(w)) / len(w)))
     base = sorted({x for _, x in places})
     return (len(words), len(places), min(places, default=(None,))[0], max(places, default=(None,))[0], ",".join(base), ",".join(sorted({*base, *(x for x, _ in fits)})), 1.0 if places else max((c for _, c in fits), default=0.0))
 
@@ -52,3 +57,53 @@ def test_license_places_beyond_line_separators(spark):
     texts = [f"a b{c} c MIT License d{c} e cc by f" for c in ("\x85", "\u2028", "\u2029")] + [f"x {c} MIT License" for c in ("\x85", "\u2028", "\u2029")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(tuple(r) for r in ls.scan(docs).collect()) == [(i, *_brute(t)) for i, t in enumerate(texts)]
+
+
+MIT = """Permission is hereby granted, free of
+charge, to any person obtaining a copy
+of this software and associated files"""
+BSD = """# Redistribution and use in source and binary
+# forms, with or without modification, are
+# permitted provided that"""
+ISC = """ * Permission to use, copy, modify, and/or distribute this
+ * software for any purpose with or without
+ * fee is hereby granted, provided"""
+GPL = """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version %d of the License, or"""
+APACHE = """ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at"""
+
+
+def test_wrapped_and_similar_notices(spark):
+    texts = {
+        "mit": MIT, "bsd": BSD, "isc": ISC, "gpl,gpl-3.0": GPL % 3, "gpl,gpl-2.0": GPL % 2, "apache,apache-2.0": APACHE,
+        "": "Released under the BSD License, the terms of which are these", "cc-by": "Licensed under CC BY 4.0", "cc-by,cc-by-sa-4.0": "Licensed under CC BY-SA\n4.0",
+        "cc-by,cc-by-nc-4.0": "Licensed\r\nunder\t CC BY-NC\n4.0", "bsd,isc,mit": f"{MIT}\n{ISC}\n{BSD}",
+    }
+    rows, want = [], []
+    for i, (labels, t) in enumerate(texts.items()):
+        for k, before in enumerate(("", "word " * 5, "word " * 1001, "word " * 50)):
+            rows.append((10 * i + k, before + t + " after" * 40))
+            want.append((10 * i + k, *_brute(rows[-1][1])))
+            assert want[-1][6] == labels, (labels, want[-1])
+    rows.append((None, MIT)), want.append((None, *_brute(MIT)))
+    got = [tuple(r) for r in ls.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_random_mixes_of_template_words(spark):
+    import random
+
+    rnd = random.Random(6)
+    words = sorted({w for _, t, _ in ls.TEMPLATES for w in ls.words_of(t)})
+    texts = []
+    for _ in range(400):
+        _, t, _ = rnd.choice(ls.TEMPLATES)
+        some = [w for w in ls.words_of(t) if rnd.random() < 0.93] + rnd.sample(words, 3)
+        rnd.shuffle(some)
+        texts.append(" ".join(["pad"] * rnd.randrange(40) + some + ["pad"] * rnd.randrange(40)))
+    got = sorted(tuple(r) for r in ls.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    want = [(i, *_brute(t)) for i, t in enumerate(texts)]
+    assert got == want and 50 < sum(bool(w[6]) for w in want) < 400
