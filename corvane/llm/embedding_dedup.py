@@ -1,9 +1,10 @@
 """Embedding near-duplicates by collision-counting projections.
 
 Every vector is projected on many random directions, and each direction is a
-sorted one-dimensional list. A vector queries the ``tops`` directions (of either
-sign) on which it lies farthest out, where the list is thin: all vectors within
-``window`` of its own projection collide with it. Collisions are counted per
+one-dimensional list, sorted by cells as wide as a window. A vector queries the
+``tops`` directions (of either sign) on which it lies farthest out, where the
+list is thin: all vectors within ``window`` of its own projection, which lie in
+its cell or the two beside it, collide with it. Collisions are counted per
 pair, from both sides, and pairs that reach the calibrated count are verified by
 their cosine in double precision, so nothing below the threshold is linked.
 
@@ -17,7 +18,9 @@ Equal vectors are collapsed to their smallest id before any of this and counted,
 so copies are never expanded into pairs.
 
 Defined results: vectors that are null, empty or zero, or hold null or
-non-finite components, link with nothing; nor do vectors of different lengths
+non-finite components, link with nothing; components of any finite size are
+scaled (by a power of two, exactly) before they are multiplied; a cosine of
+exactly the threshold links; nor do vectors of different lengths
 link with one another; a row without an id links with nothing and keeps a null
 component; repeated ids are rows of their own; an empty table gives an empty
 result. Extra columns are not carried.
@@ -37,9 +40,9 @@ from .graph import connected_components
 
 THRESHOLD = 0.9
 #: Directions that are drawn and applied at a time.
-BLOCK = 16_384
-#: Vectors for which one block is enough; blocks grow with the root of what is above.
-ROWS_PER_BLOCK = 50_000
+BLOCK = 4096
+#: Vectors that are projected on four blocks; their number grows with the root of the rows.
+ROWS_OF_FOUR = 50_000
 TOPS = 6
 WINDOW = 0.5
 RECALL = 0.99
@@ -47,7 +50,7 @@ _ROWS = 64
 
 
 def blocks_for(rows: int) -> int:
-    return max(1, round((rows / ROWS_PER_BLOCK) ** 0.5))
+    return max(1, round(4 * (rows / ROWS_OF_FOUR) ** 0.5))
 
 
 @lru_cache(maxsize=4)
@@ -97,6 +100,16 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+
+
+def scaled(v: Column) -> Column:
+    """The vector with its largest component between 1 and 2, or slightly beyond: products neither overflow nor vanish."""
+    size = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform(v, F.abs)))))
+    return F.transform(v, lambda x: x / size)
+
+
 def project(distinct: DataFrame, blocks: int, tops: int, lows: dict[int, float]) -> DataFrame:
     """Of (id, v): rows (direction, z, id, asks) with |z|; ``asks`` marks a vector's outermost directions."""
 
@@ -136,14 +149,16 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int | None
     fitted = {d: calibrate(d, threshold, blocks, tops, window, recall) for d in dims}
     least = min((count for _, count in fitted.values()), default=1)
     listed = materialise(project(distinct, blocks, tops, {d: low for d, (low, _) in fitted.items()}))
-    q = listed.filter("asks").select(F.col("direction").alias("q_direction"), F.col("z").alias("q_z"), F.col("id").alias("q_id"))
-    near = (F.col("direction") == F.col("q_direction")) & (F.abs(F.col("z") - F.col("q_z")) <= F.lit(window).cast("float")) & (F.col("id") != F.col("q_id"))
-    met = q.join(listed, near).select(F.least("id", "q_id").alias("a"), F.greatest("id", "q_id").alias("b"))
+    cell = F.floor(F.col("z") / window)
+    listed = listed.select("direction", F.col("z").cast("double").alias("z"), "id", "asks", cell.alias("cell"))
+    q = listed.filter("asks").select(F.col("direction").alias("q_direction"), F.col("z").alias("q_z"), F.col("id").alias("q_id"), F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)).alias("q_cell"))
+    near = (F.col("direction") == F.col("q_direction")) & (F.col("cell") == F.col("q_cell")) & (F.abs(F.col("z") - F.col("q_z")) <= window) & (F.col("id") != F.col("q_id"))
+    met = q.join(listed.drop("asks"), near).select(F.least("id", "q_id").alias("a"), F.greatest("id", "q_id").alias("b"))
     counted = met.groupBy("a", "b").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("a", "b")
-    va = distinct.select(F.col("id").alias("a"), F.col("v").alias("va"))
-    vb = distinct.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
-    cosine = dot(F.col("va"), F.col("vb")) / (F.sqrt(dot(F.col("va"), F.col("va"))) * F.sqrt(dot(F.col("vb"), F.col("vb"))))
+    sized = distinct.select("id", scaled(F.col("v")).alias("v"))
+    sized = materialise(sized.select("id", "v", F.sqrt(_dot(F.col("v"), F.col("v"))).alias("norm")))
+    va, vb = (sized.select(F.col("id").alias(x), F.col("v").alias(f"v{x}"), F.col("norm").alias(f"norm_{x}")) for x in "ab")
+    cosine = _dot(F.col("va"), F.col("vb")) / (F.col("norm_a") * F.col("norm_b"))
     return counted.join(va, "a").join(vb, "b").filter((F.size("va") == F.size("vb")) & (cosine >= threshold)).select("a", "b")
 
 
