@@ -5,15 +5,26 @@ a prime, for two bases. ``P[r] - P[l]``, divided by ``B**l``, is then the hash o
 the span from ``l`` to ``r``: any two spans are compared in constant time, and
 the longest common extension of two positions is found by binary search.
 
-A fingerprint is the set of the smallest span hashes, over the spans at every
-position of the whole text; the likeness of two fingerprints estimates the part
-of their spans that both texts share (Dice).
+A fingerprint is a text's length, the hash of the whole of it, and its smallest
+span hashes, over the spans at every position; equal texts have equal ones, and
+different texts differ by the hash of the whole.
+
+The likeness of two texts is the part of their code points that common spans
+cover: ``2 * covered / (n_a + n_b)``, each side's covered points counted. Common
+spans are the longest common extensions, in both directions, of the texts'
+beginnings, of their ends, and of the anchors that both have. Anchors are the
+spans of ``SPAN`` code points whose hash is the smallest of ``WINDOW``
+neighbouring ones, so every common passage of ``SPAN + WINDOW - 1`` code points
+holds one; of an anchor that a text repeats the first place counts. What is
+shorter and lies inside may be missed, so likeness is a lower bound of the part
+that is shared.
 
 Defined results: null and empty texts have the empty fingerprint, which is like
-itself (1.0) and like no other (0.0); a text shorter than four spans uses
-shorter ones; repeated rows are each other's next document; ids tie by text, a
-null id comes last; a table of one row is its own next document; an empty table
-gives an empty result. Extra columns are not carried.
+itself (1.0) and like no other (0.0); a text shorter than four spans has shorter
+ones in its fingerprint, and one shorter than a span is compared by its ends
+alone; repeated rows are each other's next document; ids tie by text, a null id
+comes last; a table of one row is its own next document; an empty table gives
+an empty result. Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -32,6 +43,8 @@ PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003_579, 754_974_721)
 SPAN = 24
 KEEP = 64
+#: Positions of which the one with the smallest hash is an anchor.
+WINDOW = 64
 _HEX = 12
 
 
@@ -71,7 +84,7 @@ class PrefixHash:
         """``start`` and ``keep``: takes over the arrays of the first ``keep`` code points, which ``text`` shares."""
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.n = n = len(codes)
-        self.prefix = []
+        self.prefix, self._start, self._keep, self._mixed, self._anchors = [], start, keep, {}, None
         fresh = codes[keep:].astype(np.uint64) + np.uint64(1)
         for k, w in enumerate(_POWERS):
             w.grow(n + 1)
@@ -89,45 +102,115 @@ class PrefixHash:
             out = h if out is None else (out << np.uint64(31)) | h
         return out
 
-    def equal(self, left: int, right: int, other: PrefixHash, o_left: int) -> bool:
-        o_right = o_left + right - left
-        if right > self.n or o_right > other.n:
-            return False
-        a = self.spans(np.array([left]), np.array([right]))
-        return bool(a[0] == other.spans(np.array([o_left]), np.array([o_right]))[0])
-
-    def common_extension(self, left: int, other: PrefixHash, o_left: int) -> int:
-        """Length of the longest common span that begins at both positions."""
-        low, high = 0, min(self.n - left, other.n - o_left)
-        while low < high:
-            mid = (low + high + 1) // 2
-            low, high = (mid, high) if self.equal(left, left + mid, other, o_left) else (low, mid - 1)
+    def equal(self, left, other: PrefixHash, o_left, size) -> np.ndarray:
+        """Whether the spans of ``size`` from ``left`` and from the other text's ``o_left`` are equal; index arrays, within both texts."""
+        left, o_left, size = np.broadcast_arrays(np.atleast_1d(left), o_left, size)
+        return self.spans(left, left + size) == other.spans(o_left, o_left + size)
+
+    def common_extension(self, left, other: PrefixHash, o_left, back: bool = False) -> np.ndarray:
+        """Lengths of the longest common spans that begin at both positions, or with ``back`` end there; by binary search, for all at once."""
+        left, o_left = np.broadcast_arrays(np.atleast_1d(left), o_left)
+        low = np.zeros(len(left), np.int64)
+        high = np.minimum(left, o_left) if back else np.minimum(self.n - left, other.n - o_left)
+        while (open_ := np.flatnonzero(low < high)).size:
+            mid = (low[open_] + high[open_] + 1) // 2
+            step = mid if back else 0
+            same = self.equal(left[open_] - step, other, o_left[open_] - step, mid)
+            low[open_] = np.where(same, mid, low[open_])
+            high[open_] = np.where(same, high[open_], mid - 1)
         return low
 
-    def fingerprint(self, span: int = SPAN, keep: int = KEEP) -> np.ndarray:
-        """The smallest ``keep`` mixed hashes of the distinct spans, sorted."""
-        n = self.n
-        if not n:
-            return np.empty(0, np.uint64)
-        w = span if n >= 4 * span else max(1, n // 4)
-        h = self.spans(slice(0, n - w + 1), slice(w, n + 1))
+    def mixed(self, w: int) -> np.ndarray:
+        """Mixed hashes of the spans of ``w`` at every position; those of a shared beginning are taken over."""
+        if w in self._mixed or w > self.n:
+            return self._mixed.get(w, np.empty(0, np.uint64))
+        head = np.empty(0, np.uint64)
+        if self._start is not None and w in self._start._mixed:
+            head = self._start._mixed[w][: max(0, self._keep - w + 1)]
+        at = len(head)
+        h = self.spans(slice(at, self.n - w + 1), slice(at + w, self.n + 1))
         h += np.uint64(w)
         h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h >>= np.uint64(64 - 4 * _HEX)
+        self._mixed[w] = np.concatenate((head, h)) if at else h
+        return self._mixed[w]
+
+    def whole(self) -> int:
+        return int(self.spans(np.array([0]), np.array([self.n]))[0])
+
+    def fingerprint(self, span: int = SPAN, keep: int = KEEP) -> np.ndarray:
+        """The smallest ``keep`` mixed hashes of the distinct spans, sorted."""
+        n = self.n
+        if not n:
+            return np.empty(0, np.uint64)
+        h = self.mixed(span if n >= 4 * span else max(1, n // 4))
         few = np.unique(np.partition(h, 2 * keep)[: 2 * keep] if len(h) > 4 * keep else h)
         if len(few) < keep < len(h):
             few = np.unique(h)
         return few[:keep]
 
-
-def to_text(fp: np.ndarray) -> str:
-    return "".join(f"{x:0{_HEX}x}" for x in fp.tolist())
-
-
-def likeness(a: np.ndarray, b: np.ndarray, keep: int = KEEP) -> float:
-    """Dice coefficient of the span sets, estimated from the smallest hashes of their union."""
+    def anchors(self, span: int = SPAN, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first position) of the spans whose hash is the smallest of some window of positions; sorted by hash."""
+        if self._anchors is None:
+            h = self.mixed(span)
+            if len(h) > window:
+                least = np.full(len(h) + window - 1, 0, np.uint64)  # the largest minimum of the windows that hold a position
+                least[window - 1 : len(h)] = _running(h, window, np.minimum)
+                at = np.flatnonzero(_running(least, window, np.maximum) == h)
+            else:
+                at = np.flatnonzero(h == h.min(initial=_MOST))
+            values, first = np.unique(h[at], return_index=True)
+            self._anchors = values, at[first]
+        return self._anchors
+
+
+_MOST = np.iinfo(np.uint64).max
+
+
+def _running(x: np.ndarray, width: int, of: np.ufunc) -> np.ndarray:
+    """Minimum or maximum of each ``width`` consecutive values."""
+    n, step, m = len(x) - width + 1, 1, x
+    while 2 * step <= width:
+        m = of(m[:-step], m[step:])
+        step *= 2
+    return m[:n] if step == width else of(m[:n], m[width - step : width - step + n])
+
+
+def _covered(starts: np.ndarray, ends: np.ndarray) -> int:
+    """Positions in the union of spans."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    upto = np.maximum.accumulate(ends)
+    return int(np.maximum(0, ends - np.maximum(starts, np.append(0, upto[:-1]))).sum())
+
+
+def likeness(a: PrefixHash, b: PrefixHash) -> float:
+    """Part of the code points of both texts that their common spans cover."""
+    if not a.n or not b.n:
+        return float(a.n == b.n)
+    _, i, j = np.intersect1d(*(x.anchors()[0] for x in (a, b)), assume_unique=True, return_indices=True)
+    pa_, pb = a.anchors()[1][i], b.anchors()[1][j]
+    pa_, pb = np.append(pa_, 0), np.append(pb, 0)
+    ahead = a.common_extension(pa_, b, pb)
+    on = ahead >= SPAN  # the hash of an anchor is short, its span is compared
+    on[-1] = True
+    pa_, pb, ahead = pa_[on], pb[on], ahead[on]
+    back = a.common_extension(pa_, b, pb, back=True)
+    tail = int(a.common_extension(a.n, b, b.n, back=True)[0])
+    spans = [(np.append(p - back, x.n - tail), np.append(p + ahead, x.n)) for p, x in ((pa_, a), (pb, b))]
+    return (_covered(*spans[0]) + _covered(*spans[1])) / (a.n + b.n)
+
+
+def to_text(p: PrefixHash) -> str:
+    """Length, hash of the whole text and smallest span hashes; empty for an empty text."""
+    return f"{p.n:x}-{p.whole():016x}-" + "".join(f"{x:0{_HEX}x}" for x in p.fingerprint().tolist()) if p.n else ""
+
+
+def estimate(a: str, b: str, keep: int = KEEP) -> float:
+    """From two fingerprints alone: the Dice coefficient of the span sets, by the smallest hashes of their union (error about ``1 / sqrt(keep)``)."""
+    a, b = (np.array([int(h[i : i + _HEX], 16) for h in [x.rpartition("-")[2]] for i in range(0, len(h), _HEX)], np.uint64) for x in (a, b))
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     both = np.union1d(a, b)[:keep]
@@ -142,7 +225,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches):
         for b in batches:
             texts = [t.as_py() or "" for t in b.column(1)]
-            out = [pa.array([len(t) for t in texts], pa.int64()), pa.array([to_text(PrefixHash(t).fingerprint()) for t in texts], pa.string())]
+            out = [pa.array([len(t) for t in texts], pa.int64()), pa.array([to_text(PrefixHash(t)) for t in texts], pa.string())]
             yield pa.RecordBatch.from_arrays([b.column(0), *out], names=[id_col, "n_chars", "fingerprint"])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
@@ -186,22 +269,22 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Fingerprints of every text and of its edited text, with their likeness to one another and to the next document's."""
 
     def run(batches):
-        last = None  # the row before: id, text, prefix arrays, fingerprint
+        last = None  # the row before: id, text, prefix arrays, range, after
         for b in batches:
             out = []
             for i, text, range_, after in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                done = last is None or last[4] != range_ or last[5]
+                done = last is None or last[3] != range_ or last[4]
                 if done and after:
                     continue
                 p = PrefixHash(text)
-                fp = p.fingerprint()
                 if not done:
-                    n = len(last[1])
+                    n, own = len(last[1]), last[2]
                     k = n // 2
                     edited = last[1][: n - k] + text[:k]
-                    e = PrefixHash(edited, last[2], n - k).fingerprint()
-                    out.append((last[0], n, hashlib.sha256(edited.encode()).hexdigest(), to_text(last[3]), to_text(e), likeness(last[3], e), likeness(last[3], fp)))
-                last = (i, text, p, fp, range_, after)
+                    mark = to_text(own)
+                    e = PrefixHash(edited, own, n - k)
+                    out.append((last[0], n, hashlib.sha256(edited.encode()).hexdigest(), mark, to_text(e), likeness(own, e), likeness(own, p)))
+                last = (i, text, p, range_, after)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _OUT, strict=True)], names=[n for n, _ in _OUT])
 
