@@ -11,13 +11,20 @@ built apart. The smallest hash of the 20-byte strings inside a 50-byte string
 depends on that string alone; consecutive strings with one such key make a
 piece of at most 98 bytes, and pieces with one key go to one collection. Equal
 strings thus always meet, and a collection takes at most 98 rounds. Keys that
-occur in one document alone cannot repeat and are left out first; keys that
-occur in very many groups of documents are divided by a second, independent
-hash. Equal pieces are merged, keeping their smallest id, in each group and
-again in each collection, so copies cost one string, and a key whose pieces are
-all equal has nothing left to compare. A collection's columns are held in memory, as its size is bounded (``COLLECTION_BYTES`` of distinct pieces
-or one key): a machine-local file is lost with its executor, and a shared one
-would be rewritten every round.
+occur in one document alone cannot repeat and are left out first. Equal pieces
+are merged, keeping their smallest id, in each group of documents and again in
+each collection, so copies cost one string. Every key is solved by a transform;
+collections take whole keys up to ``COLLECTION_BYTES`` of distinct pieces, and a
+key with more than ``DIVIDE_BYTES`` is divided by further, independent hashes.
+
+Keys that occur in over ``hot_groups`` groups are divided by a second hash
+before they travel, and their pieces are merged on the way: first among about
+the root of the number of groups, then all. So one passage that every document
+holds reaches a task from that many senders, not from every group.
+
+A collection's columns are held in memory, as their size is bounded: a
+machine-local file is lost with its executor, and a shared one would be
+rewritten every round (figures in the README).
 
 The texts are shuffled once, into groups of about ``GROUP_BYTES``; groups send
 keys, get back those that repeat, send their pieces, and get back for each
@@ -31,19 +38,24 @@ result. Columns named in ``keep`` are carried, others are not.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .collection_bwt import classes
+from .common import materialise
 
 LENGTH = 50
 KEY_BYTES = 20
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 COLLECTION_BYTES = 1 << 16
-#: Groups in which a key occurs before it is divided.
+#: Distinct pieces of one key that are solved together.
+DIVIDE_BYTES = 1 << 20
+#: Groups in which a key occurs before it is divided and merged on the way.
 HOT_GROUPS = 2000
 _BLOCK = 1 << 14
 NO_ID = np.iinfo(np.int64).max
@@ -120,20 +132,21 @@ class Group:
         return first, count
 
     def pieces(self, repeated: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of the pieces with a repeated key: (first string, count, key, number of its distinct piece), and the distinct pieces."""
+        """Of the pieces with a repeated key: (first string, count, key, whether it is hot, number of its distinct piece), and the distinct pieces."""
         keys = self.keys()
         first, count = self.runs(keys)
         on = member(keys[first], repeated)
-        if len(hot) and (very := on & member(keys[first], hot)).any():
+        very = on & member(keys[first], hot)
+        if very.any():
             string = np.repeat(very, count)
             keys = np.where(string, self.divided(keys), keys)
             may = np.repeat(on, count)
             first, count = self.runs(keys)
-            on = may[first]
-        first, count = first[on], count[on]
+            on, very = may[first], string[first]
+        first, count, very = first[on], count[on], very[on]
         flat, sizes = gather(self.data, self.at[first], count + self.length - 1)
         coded = binary(flat, sizes).dictionary_encode()
-        return first, count, keys[first], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+        return first, count, keys[first], very, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
 def member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -166,24 +179,39 @@ def spans_of(a: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets[:-1], np.diff(offsets)
 
 
-def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: int) -> list[np.ndarray]:
+def merged(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pieces with their keys and smallest ids, and the number of each piece's distinct one."""
+    coded = pieces.dictionary_encode()
+    which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    least, key = np.full(len(coded.dictionary), NO_ID), np.zeros(len(coded.dictionary), np.uint64)
+    np.minimum.at(least, which, ids)
+    key[which] = keys
+    return coded.dictionary, key, least, which
+
+
+def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: int, seed: int = 2) -> list[np.ndarray]:
     """For each distinct piece, with its key and smallest id: of each of its strings the smallest id that holds it.
 
-    A key with a single piece has no other to be compared with: its strings are
-    held by the piece's smallest id. The others are read off the transforms of
-    whole keys, of about ``COLLECTION_BYTES`` together.
+    They are read off the transforms of whole keys, of about ``COLLECTION_BYTES``
+    together; a key of over ``DIVIDE_BYTES`` is divided by another hash.
     """
     data, starts, sizes = spans_of(pieces)
     counts = sizes - length + 1
     flat, at = np.repeat(ids, counts), np.cumsum(counts) - counts
     order = np.argsort(keys, kind="stable")
     last = np.append(keys[order][1:] != keys[order][:-1], True) if len(keys) else np.empty(0, bool)
-    several = ~(last & np.append(True, last[:-1]))
-    order, last = order[several], last[several]
     total = np.cumsum(sizes[order])
     i = 0
     while i < len(order):
-        j = int(np.searchsorted(total, (total[i - 1] if i else 0) + COLLECTION_BYTES, side="right"))
+        before = total[i - 1] if i else 0
+        end = i + int(np.argmax(last[i:]))  # of the first key
+        if total[end] - before > DIVIDE_BYTES and seed < len(_MIX):
+            part = order[i : end + 1]
+            for p, found in zip(part.tolist(), _divide(data, starts[part], sizes[part], ids[part], length, seed), strict=True):
+                flat[at[p] : at[p] + counts[p]] = found
+            i = end + 1
+            continue
+        j = int(np.searchsorted(total, before + COLLECTION_BYTES, side="right"))
         j = max(i, min(j, len(order) - 1))
         j += int(np.argmax(last[j:])) + 1
         part = order[i:j]
@@ -198,6 +226,22 @@ def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: in
     return np.split(flat, at[1:])
 
 
+def _divide(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int, seed: int) -> list[np.ndarray]:
+    """``smallest_ids`` of the pieces of one key, cut where the smallest hash by ``seed`` changes."""
+    flat, _ = gather(data, starts, sizes)
+    counts = sizes - length + 1
+    own = np.repeat(np.arange(len(sizes)), counts)  # piece of each string
+    at = np.arange(len(own)) + (own * (length - 1))  # its place in ``flat``
+    key = _smallest(_hashes(flat, KEY_BYTES, seed), length - KEY_BYTES + 1)[at]
+    new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]))
+    first = np.flatnonzero(new)
+    runs = np.diff(np.append(first, len(own)))
+    parts, part_sizes = gather(flat, at[first], runs + length - 1)
+    distinct, keys, least, which = merged(binary(parts, part_sizes), key[first], ids[own[first]])
+    found = smallest_ids(distinct, keys, least, length, seed + 1)
+    return np.split(np.concatenate([found[w] for w in which.tolist()]), np.cumsum(counts)[:-1])
+
+
 def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
@@ -213,6 +257,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     dealt = src.withColumn("g", F.pmod(F.xxhash64("__id", "__text"), F.lit(n_groups))).repartition(F.col("g"))
     texts = dealt.select("g", "__id", "__text")
 
+    names = ("bucket", "pieces", "sizes", "piece_keys", "ids")
+
     def send_keys(t: pa.Table) -> pa.Table:
         group = Group(t, length)
         keys, rows = group.keys(), []
@@ -254,55 +300,73 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         return k & ~np.uint64(1), k[(k & np.uint64(1)) == 1] & ~np.uint64(1)
 
     def distinct_pieces(group: Group, lists: pa.Table):
-        """Pieces of a group by bucket: what ``send_pieces`` sends and ``finish`` gets answers for, in one order."""
-        first, count, keys, which, distinct = group.pieces(*answers(lists))
+        """Pieces of a group by bucket, hot ones after all others: what is sent and what ``finish`` gets answers for, in one order."""
+        first, count, keys, very, which, distinct = group.pieces(*answers(lists))
         n = len(distinct)
-        ids, key = np.full(n, NO_ID), np.zeros(n, np.uint64)
+        ids, key, hot = np.full(n, NO_ID), np.zeros(n, np.uint64), np.zeros(n, bool)
         np.minimum.at(ids, which, group.ids[group.doc[first]])
-        key[which] = keys
-        where = _bucket(key, n_buckets)
+        key[which], hot[which] = keys, very
+        where = _bucket(key, n_buckets) + n_buckets * hot
         order = np.argsort(where, kind="stable")
         return first, count, which, distinct, ids, key, order, where[order]
 
-    def send_pieces(t: pa.Table, lists: pa.Table) -> pa.Table:
-        if not t.num_rows:
-            return _rows([], 0, ("bucket", "pieces", "sizes", "piece_keys", "ids"))
-        group, rows = Group(t, length), []
-        _, _, _, distinct, ids, key, order, where = distinct_pieces(group, lists)
-        data, starts, sizes = spans_of(distinct)
-        for b in np.unique(where).tolist():
-            some = order[slice(*np.searchsorted(where, [b, b + 1]))]
-            flat, _ = gather(data, starts[some], sizes[some])
-            rows.append((b, _pack(flat), _pack(sizes[some].astype(np.uint8)), key[some].tobytes(), _pack(ids[some])))
-        return _rows(rows, t.column("g")[0].as_py(), ("bucket", "pieces", "sizes", "piece_keys", "ids"))
-
-    def solve(t: pa.Table) -> pa.Table:
+    def send_pieces(hot: bool):
+        def send(t: pa.Table, lists: pa.Table) -> pa.Table:
+            if not t.num_rows:
+                return _rows([], 0, names)
+            group, rows = Group(t, length), []
+            _, _, _, distinct, ids, key, order, where = distinct_pieces(group, lists)
+            data, starts, sizes = spans_of(distinct)
+            for b in np.unique(where).tolist():
+                if (b >= n_buckets) == hot:
+                    some = order[slice(*np.searchsorted(where, [b, b + 1]))]
+                    flat, _ = gather(data, starts[some], sizes[some])
+                    rows.append((b, _pack(flat), _pack(sizes[some].astype(np.uint8)), key[some].tobytes(), _pack(ids[some])))
+            return _rows(rows, t.column("g")[0].as_py(), names)
+
+        return send
+
+    def received(t: pa.Table) -> tuple:
+        """Distinct pieces of many senders with keys and smallest ids, the number of each sent piece's, and how many each sent."""
         sizes = [_open(x, np.uint8).astype(np.int64) for x in t.column("sizes")]
         flat = np.concatenate([_open(x, np.uint8) for x in t.column("pieces")])
-        coded = binary(flat, np.concatenate(sizes)).dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        n = len(coded.dictionary)
-        ids, keys = np.full(n, NO_ID), np.zeros(n, np.uint64)
-        np.minimum.at(ids, which, np.concatenate([_open(x, np.int64) for x in t.column("ids")]))
-        keys[which] = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t.column("piece_keys")])
-        found = smallest_ids(coded.dictionary, keys, ids, length)
-        counts = np.fromiter(map(len, found), np.int64, n)
+        keys = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t.column("piece_keys")])
+        return *merged(binary(flat, np.concatenate(sizes)), keys, np.concatenate([_open(x, np.int64) for x in t.column("ids")])), [len(s) for s in sizes]
+
+    def merge(t: pa.Table) -> pa.Table:
+        """Of the hot pieces of some groups each once, sent on under a number below zero."""
+        distinct, keys, ids, _, _ = received(t.sort_by("g"))  # in one order here and in ``spread``
+        data, _, sizes = spans_of(distinct)
+        return _rows([(t.column("bucket")[0].as_py(), _pack(data[: sizes.sum()]), _pack(sizes.astype(np.uint8)), keys.tobytes(), _pack(ids))], -1 - t.column("part")[0].as_py(), names)
+
+    def answer(t: pa.Table, which: np.ndarray, sent: list[int], runs: np.ndarray, lens: np.ndarray, ids: np.ndarray) -> pa.Table:
+        """What each sender of ``t`` learns of its pieces. ``runs``: of each distinct piece, runs of strings with one smallest id; ``lens`` and ``ids`` of these runs."""
+        at, rows, i = np.cumsum(runs) - runs, [], 0
+        for g, n in zip(t.column("g").to_pylist(), sent, strict=True):
+            w = which[i : i + n]
+            i += n
+            some, _ = gather(ids, at[w], runs[w])
+            sizes, _ = gather(lens, at[w], runs[w])
+            rows.append((t.column("bucket")[0].as_py(), _pack(runs[w].astype(np.uint8)), _pack(sizes), _pack(some), g))
+        return pa.table({"g": pa.array([r[4] for r in rows], pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), **{n: pa.array([r[k] for r in rows], pa.binary()) for k, n in enumerate(("runs", "lens", "ids"), 1)}})
+
+    def solve(t: pa.Table) -> pa.Table:
+        distinct, keys, ids, which, sent = received(t)
+        found = smallest_ids(distinct, keys, ids, length)
         every = np.concatenate(found)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
         at = np.cumsum(counts) - counts
         new = np.append(True, every[1:] != every[:-1])
         new[at] = True
-        runs = np.add.reduceat(new, at)  # of equal ids in each piece
         heads = np.flatnonzero(new)
-        run_ids, run_sizes = every[heads], np.diff(np.append(heads, len(every))).astype(np.uint8)
-        run_at = np.cumsum(runs) - runs
-        rows, i = [], 0
-        for g, s in zip(t.column("g").to_pylist(), sizes, strict=True):
-            w = which[i : i + len(s)]
-            i += len(s)
-            sent, _ = gather(run_ids, run_at[w], runs[w])
-            lens, _ = gather(run_sizes, run_at[w], runs[w])
-            rows.append((t.column("bucket")[0].as_py(), _pack(runs[w].astype(np.uint8)), _pack(lens), _pack(sent), g))
-        return pa.table({"g": pa.array([r[4] for r in rows], pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), **{n: pa.array([r[k] for r in rows], pa.binary()) for k, n in enumerate(("runs", "lens", "ids"), 1)}})
+        return answer(t, which, sent, np.add.reduceat(new, at), np.diff(np.append(heads, len(every))).astype(np.uint8), every[heads])
+
+    def spread(t: pa.Table, solved: pa.Table) -> pa.Table:
+        """Answers to merged pieces, handed on to the groups that sent them."""
+        t = t.sort_by("g")
+        _, _, _, which, sent = received(t)
+        runs, lens, ids = (np.concatenate([_open(x, k) for x in solved.column(c)]) for c, k in (("runs", np.uint8), ("lens", np.uint8), ("ids", np.int64)))
+        return answer(t, which, sent, runs.astype(np.int64), lens, ids)
 
     def finish(t: pa.Table, both: pa.Table) -> pa.Table:
         if not t.num_rows:
@@ -337,8 +401,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     keys = texts.groupBy("g").applyInArrow(send_keys, "g long, bucket long, keys binary")
     lists = keys.groupBy("bucket").applyInArrow(repeated_keys, "g long, keys binary")
-    pieces = texts.groupBy("g").cogroup(lists.groupBy("g")).applyInArrow(send_pieces, "g long, bucket long, pieces binary, sizes binary, piece_keys binary, ids binary")
-    solved = pieces.groupBy("bucket").applyInArrow(solve, "g long, bucket long, runs binary, lens binary, ids binary")
+    sent, told = "g long, bucket long, pieces binary, sizes binary, piece_keys binary, ids binary", "g long, bucket long, runs binary, lens binary, ids binary"
+    answered = texts.groupBy("g").cogroup(lists.groupBy("g"))
+    pieces = answered.applyInArrow(send_pieces(hot=False), sent)
+    if n_groups <= hot_groups:  # no key can be in more
+        solved = pieces.groupBy("bucket").applyInArrow(solve, told)
+    else:
+        few = max(2, math.isqrt(n_groups))
+        hot = answered.applyInArrow(send_pieces(hot=True), sent).withColumn("part", F.floor(F.col("g") / few))
+        every = pieces.unionByName(hot.groupBy("part", "bucket").applyInArrow(merge, sent))
+        solved = materialise(every.groupBy("bucket").applyInArrow(solve, told))
+        back = solved.filter("g < 0").withColumn("part", -1 - F.col("g"))
+        solved = solved.filter("g >= 0").unionByName(hot.groupBy("part", "bucket").cogroup(back.groupBy("part", "bucket")).applyInArrow(spread, told))
     both = lists.unionByName(solved, allowMissingColumns=True)
     carried = [(n, k) for n, k in dealt.dtypes if n not in ("g", "__text")]
     schema = ", ".join(f"`{n}` {k}" for n, k in carried) + ", n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary")

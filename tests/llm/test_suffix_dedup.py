@@ -92,6 +92,36 @@ def test_many_groups(spark, monkeypatch):
     rows = _fixture(6)
     assert _run(spark, rows) == brute(rows)
     assert _run(spark, rows, hot_groups=2) == brute(rows)
+    assert _run(spark, rows, hot_groups=0) == brute(rows)
+
+
+def test_hot_pieces_come_from_few_senders(spark, monkeypatch):
+    """A passage in every group: merged on the way, with the same result."""
+    monkeypatch.setattr(sd, "GROUP_BYTES", 500)
+    rnd = random.Random(8)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, "".join(rnd.choice("ijklm ") for _ in range(200)) + passage + "".join(rnd.choice("nopq ") for _ in range(60))) for i in range(150)]
+    assert _run(spark, rows, hot_groups=20) == brute(rows)
+
+
+def test_large_keys_are_divided(monkeypatch):
+    """One key for all pieces, divided by further hashes or not: the same smallest ids."""
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    common = bytes(rnd.choice(b"abc") for _ in range(20))
+    pieces = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(15, 30))) + common + bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(15, 30))) for _ in range(200)]
+    pieces = sorted({p for x in pieces for p in (x, x[3:], x[:-2], b"zzz" + x) if 50 <= len(p) <= 98})
+    ids = np.array(rnd.sample(range(10_000), len(pieces)), np.int64)
+    least = {}
+    for p, i in zip(pieces, ids.tolist()):
+        for k in range(len(p) - 49):
+            least[p[k : k + 50]] = min(least.get(p[k : k + 50], i), i)
+    want = [[least[p[k : k + 50]] for k in range(len(p) - 49)] for p in pieces]
+    for most in (1 << 20, 3000, 10):
+        monkeypatch.setattr(sd, "DIVIDE_BYTES", most)
+        got = sd.smallest_ids(pa.array(pieces, pa.binary()), np.full(len(pieces), 8, np.uint64), ids, 50)
+        assert [g.tolist() for g in got] == want
 
 
 def test_empty(spark):
