@@ -11,7 +11,8 @@ Defined results: null and empty texts, and texts of white space alone, have
 fingerprint zero and are linked like any other; texts of any length are hashed
 whole; rows that repeat an id are one document; a null id gets a null component
 unless its fingerprint links to an id; an empty table gives an empty result.
-Extra columns are not carried.
+Extra columns are not carried. ``simhash_similar`` finds near copies by the
+similarity of their shingles with the same signatures.
 """
 
 from __future__ import annotations
@@ -113,11 +114,6 @@ def keep_least(docs: DataFrame, comp: DataFrame, id_col: str, text_col: str) ->
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, each once; those without an id stay unless they link to one with."""
-    return keep_least(docs, components(docs, id_col, text_col, bits, row_keys(id_col, text_col)), id_col, text_col)
-
-
 def query(spark, sf_dir):
     out = components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
