@@ -10,33 +10,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import packing, shingle_dedup, suffix_dedup
+from corvane.llm import packing, simhash_similar, suffix_dedup
 from corvane.llm import toxicity as tox
-from corvane.llm.common import shared_path
+from corvane.llm.common import remove_path, shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by a machine fitted to the labels of documents that aren't held out."""
+    """Documents that score below the threshold, by a machine fitted to the labels of documents that aren't held out.
+
+    Null and empty texts have the score of a text without words; a null id, language or source is kept as it is; repeated
+    rows score alike and all stay or go; a score of exactly the threshold goes; a text of any length is scored whole; other
+    columns than those of ``documents`` are left out; an empty table gives an empty result.
+    """
     docs = docs.select(*COLUMNS)
     machine = tox.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return tox.score(docs, machine, keep=COLUMNS).filter(F.col("score") < tox.THRESHOLD).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group linked by a similarity of five-word shingles of 0.8 or more."""
-    return shingle_dedup.deduplicate(docs.select(*COLUMNS))
+    """The document with the smallest id of each group of near copies: SimHash signatures of five-word shingles, similarity 0.8 or more.
+
+    Texts without words, null ones too, are one group; rows that repeat id and text are kept once; a row without an id stays
+    unless it is a near copy of one with an id; texts of any length are compared whole; other columns than those of
+    ``documents`` are left out; an empty table gives an empty result.
+    """
+    return simhash_similar.deduplicate(docs.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that an earlier document holds too; a character that loses a byte goes whole."""
+    """Texts without the strings of 50 bytes that a document with a smaller id holds too; a character that loses a byte goes whole.
+
+    Null texts become empty; rows that share an id don't take from one another; a row without an id counts as the last; a
+    document stays even if nothing is left of its text; ``n_chars`` is counted anew; other columns than those of
+    ``documents`` are left out; an empty table gives an empty result.
+    """
     out = suffix_dedup.remove_repeats(docs.select(*COLUMNS), keep=("lang", "source"), as_text=True)
     return out.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two length with their ids."""
+    """Pieces of power-of-two length with their ids.
+
+    A null or empty text is a piece of the end id alone; repeated rows and rows without an id are packed each for itself;
+    texts of any length are split whole; an empty table gives an empty result.
+    """
     return packing.pack(docs)
 
 
@@ -47,10 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Applies the stages to ``documents``; each result is written to the shared folder, read again, and removed when the next is written."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read is not None:
+            remove_path(spark, read)
+        docs, read = spark.read.parquet(path), path
     return docs
