@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_width
+from .common import batches_then_rest, shuffle_width
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003_579, 754_974_721)
@@ -45,6 +45,9 @@ SPAN = 24
 KEEP = 64
 #: Positions of which the one with the smallest hash is an anchor.
 WINDOW = 64
+#: Code points of the texts that are compared together, at least one text.
+TOGETHER = 1 << 17
+_ROWS = 1000
 _HEX = 12
 
 
@@ -78,20 +81,18 @@ _POWERS = [_Powers(b) for b in BASES]
 
 
 class PrefixHash:
-    """Prefix arrays of one text."""
+    """Prefix arrays of one string."""
 
-    def __init__(self, text: str, start: PrefixHash | None = None, keep: int = 0):
-        """``start`` and ``keep``: takes over the arrays of the first ``keep`` code points, which ``text`` shares."""
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    def __init__(self, text: str):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        codes += np.uint64(1)
         self.n = n = len(codes)
-        self.prefix, self._start, self._keep, self._mixed, self._anchors = [], start, keep, {}, None
-        fresh = codes[keep:].astype(np.uint64) + np.uint64(1)
-        for k, w in enumerate(_POWERS):
+        self.prefix = []
+        for w in _POWERS:
             w.grow(n + 1)
-            head = start.prefix[k][: keep + 1] if start else np.zeros(1, np.uint64)
-            tail = np.cumsum(_mod(fresh * w.up[keep:n]), dtype=np.uint64)
-            tail += head[-1]
-            self.prefix.append(np.concatenate((head, _mod(tail))))
+            out = np.zeros(n + 1, np.uint64)
+            np.cumsum(_mod(codes * w.up[:n]), out=out[1:])
+            self.prefix.append(_mod(out))
 
     def spans(self, left, right) -> np.ndarray:
         """62-bit hashes of the spans [left, right), each an index array or a slice."""
@@ -102,71 +103,34 @@ class PrefixHash:
             out = h if out is None else (out << np.uint64(31)) | h
         return out
 
-    def equal(self, left, other: PrefixHash, o_left, size) -> np.ndarray:
-        """Whether the spans of ``size`` from ``left`` and from the other text's ``o_left`` are equal; index arrays, within both texts."""
-        left, o_left, size = np.broadcast_arrays(np.atleast_1d(left), o_left, size)
-        return self.spans(left, left + size) == other.spans(o_left, o_left + size)
+    def equal(self, left, other_left, size) -> np.ndarray:
+        """Whether the spans of ``size`` from two positions are equal; index arrays."""
+        left, other_left, size = np.broadcast_arrays(np.atleast_1d(left), other_left, size)
+        return self.spans(left, left + size) == self.spans(other_left, other_left + size)
 
-    def common_extension(self, left, other: PrefixHash, o_left, back: bool = False) -> np.ndarray:
-        """Lengths of the longest common spans that begin at both positions, or with ``back`` end there; by binary search, for all at once."""
-        left, o_left = np.broadcast_arrays(np.atleast_1d(left), o_left)
-        low = np.zeros(len(left), np.int64)
-        high = np.minimum(left, o_left) if back else np.minimum(self.n - left, other.n - o_left)
+    def common_extension(self, left, other_left, most, back: bool = False) -> np.ndarray:
+        """Lengths, up to ``most``, of the longest common spans that begin at both positions, or with ``back`` end there; by binary search, for all at once."""
+        left, other_left, high = np.broadcast_arrays(np.atleast_1d(left), other_left, most)
+        low, high = np.zeros(len(left), np.int64), high.astype(np.int64)
         while (open_ := np.flatnonzero(low < high)).size:
             mid = (low[open_] + high[open_] + 1) // 2
             step = mid if back else 0
-            same = self.equal(left[open_] - step, other, o_left[open_] - step, mid)
+            same = self.equal(left[open_] - step, other_left[open_] - step, mid)
             low[open_] = np.where(same, mid, low[open_])
             high[open_] = np.where(same, high[open_], mid - 1)
         return low
 
-    def mixed(self, w: int) -> np.ndarray:
-        """Mixed hashes of the spans of ``w`` at every position; those of a shared beginning are taken over."""
-        if w in self._mixed or w > self.n:
-            return self._mixed.get(w, np.empty(0, np.uint64))
-        head = np.empty(0, np.uint64)
-        if self._start is not None and w in self._start._mixed:
-            head = self._start._mixed[w][: max(0, self._keep - w + 1)]
-        at = len(head)
-        h = self.spans(slice(at, self.n - w + 1), slice(at + w, self.n + 1))
+    def mixed(self, start: int, end: int, w: int) -> np.ndarray:
+        """Mixed 48-bit hashes of the spans of ``w`` that lie in [start, end), by position."""
+        if end - start < w:
+            return np.empty(0, np.uint64)
+        h = self.spans(slice(start, end - w + 1), slice(start + w, end + 1))
         h += np.uint64(w)
         h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h >>= np.uint64(64 - 4 * _HEX)
-        self._mixed[w] = np.concatenate((head, h)) if at else h
-        return self._mixed[w]
-
-    def whole(self) -> int:
-        return int(self.spans(np.array([0]), np.array([self.n]))[0])
-
-    def fingerprint(self, span: int = SPAN, keep: int = KEEP) -> np.ndarray:
-        """The smallest ``keep`` mixed hashes of the distinct spans, sorted."""
-        n = self.n
-        if not n:
-            return np.empty(0, np.uint64)
-        h = self.mixed(span if n >= 4 * span else max(1, n // 4))
-        few = np.unique(np.partition(h, 2 * keep)[: 2 * keep] if len(h) > 4 * keep else h)
-        if len(few) < keep < len(h):
-            few = np.unique(h)
-        return few[:keep]
-
-    def anchors(self, span: int = SPAN, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, first position) of the spans whose hash is the smallest of some window of positions; sorted by hash."""
-        if self._anchors is None:
-            h = self.mixed(span)
-            if len(h) > window:
-                least = np.full(len(h) + window - 1, 0, np.uint64)  # the largest minimum of the windows that hold a position
-                least[window - 1 : len(h)] = _running(h, window, np.minimum)
-                at = np.flatnonzero(_running(least, window, np.maximum) == h)
-            else:
-                at = np.flatnonzero(h == h.min(initial=_MOST))
-            values, first = np.unique(h[at], return_index=True)
-            self._anchors = values, at[first]
-        return self._anchors
-
-
-_MOST = np.iinfo(np.uint64).max
+        return h
 
 
 def _running(x: np.ndarray, width: int, of: np.ufunc) -> np.ndarray:
@@ -178,39 +142,99 @@ def _running(x: np.ndarray, width: int, of: np.ufunc) -> np.ndarray:
     return m[:n] if step == width else of(m[:n], m[width - step : width - step + n])
 
 
-def _covered(starts: np.ndarray, ends: np.ndarray) -> int:
-    """Positions in the union of spans."""
+def _covered(starts: np.ndarray, ends: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
+    """Positions in the union of spans, for each of ``n`` disjoint ranges that the spans lie in."""
     order = np.argsort(starts, kind="stable")
-    starts, ends = starts[order], ends[order]
-    upto = np.maximum.accumulate(ends)
-    return int(np.maximum(0, ends - np.maximum(starts, np.append(0, upto[:-1]))).sum())
+    starts, ends, which = starts[order], ends[order], which[order]
+    upto = np.append(0, np.maximum.accumulate(ends)[:-1]) if len(ends) else ends
+    return np.bincount(which, np.maximum(0, ends - np.maximum(starts, upto)), n)
+
+
+class Texts:
+    """Some texts, one after the other under one prefix hash, so that what is asked of all is answered at once."""
+
+    def __init__(self, texts: list[str]):
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+        self.hash = PrefixHash("".join(texts))
+        self.h = self.hash.mixed(0, self.hash.n, SPAN)
+        self.whole = self.hash.spans(self.starts, self.ends).tolist()
+        self._anchors = None
+
+    def smallest(self, i: int, keep: int = KEEP) -> np.ndarray:
+        """The smallest ``keep`` mixed hashes of the distinct spans of a text, sorted."""
+        a, n = int(self.starts[i]), int(self.sizes[i])
+        if not n:
+            return np.empty(0, np.uint64)
+        h = self.h[a : a + n - SPAN + 1] if n >= 4 * SPAN else self.hash.mixed(a, a + n, max(1, n // 4))
+        few = np.unique(np.partition(h, 2 * keep)[: 2 * keep] if len(h) > 4 * keep else h)
+        if len(few) < keep < len(h):
+            few = np.unique(h)
+        return few[:keep]
 
+    def fingerprint(self, i: int) -> str:
+        """Length, hash of the whole text and smallest span hashes; empty for an empty text."""
+        return f"{self.sizes[i]:x}-{self.whole[i]:016x}-{self.smallest(i).astype('>u8').tobytes().hex()}" if self.sizes[i] else ""
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, hash, first position) of the spans whose hash is the smallest of some window of its text's positions, or of all if these are fewer."""
+        if self._anchors is None:
+            h, count = self.h, np.maximum(self.sizes - SPAN + 1, 0)
+            text = np.repeat(np.arange(len(count)), count)
+            at = np.arange(len(text)) + (self.starts - (np.cumsum(count) - count))[text]  # of each span that lies in one text
+            chosen = np.zeros(len(h), bool)
+            if len(h) >= WINDOW:
+                least = _running(h, WINDOW, np.minimum)
+                whole = at[at + (WINDOW + SPAN - 1) <= self.ends[text]]  # windows in one text
+                most = np.zeros(len(h) + WINDOW - 1, np.uint64)  # the largest minimum of the windows that hold a position
+                most[WINDOW - 1 + whole] = least[whole]
+                chosen = _running(most, WINDOW, np.maximum) == h
+            for i in np.flatnonzero((count > 0) & (count < WINDOW)).tolist():
+                own = h[self.starts[i] : self.starts[i] + count[i]]
+                chosen[self.starts[i] : self.starts[i] + count[i]] = own == own.min()
+            on = chosen[at]
+            text, at = text[on], at[on]
+            order = np.lexsort((at, h[at], text))
+            text, at = text[order], at[order]
+            first = np.ones(len(at), bool)
+            first[1:] = (h[at[1:]] != h[at[:-1]]) | (text[1:] != text[:-1])
+            self._anchors = text[first], h[at[first]], at[first]
+        return self._anchors
+
+    def likeness(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For pairs of texts (indices; none twice in ``a``, nor in ``b``): the part of the code points of both that their common spans cover."""
+        text, h, at = self.anchors()
+        sides = []
+        for side in (a, b):
+            pair = np.full(len(self.sizes), -1)
+            pair[side] = np.arange(len(side))
+            on = np.flatnonzero(pair[text] >= 0)
+            sides.append((pair[text[on]].astype(np.uint64) << np.uint64(4 * _HEX) | h[on], at[on]))
+        key, i, j = np.intersect1d(sides[0][0], sides[1][0], assume_unique=True, return_indices=True)
+        pair, x, y = (key >> np.uint64(4 * _HEX)).astype(np.int64), sides[0][1][i], sides[1][1][j]
+        same = self.hash.equal(x, y, SPAN)  # the hash of an anchor is short
+        pair, x, y = (np.concatenate((v[same], w)) for v, w in ((pair, np.arange(len(a))), (x, self.starts[a]), (y, self.starts[b])))
+        ahead = self.hash.common_extension(x, y, np.minimum(self.ends[a[pair]] - x, self.ends[b[pair]] - y))
+        back = self.hash.common_extension(x, y, np.minimum(x - self.starts[a[pair]], y - self.starts[b[pair]]), back=True)
+        tail = self.hash.common_extension(self.ends[a], self.ends[b], np.minimum(self.sizes[a], self.sizes[b]), back=True)
+        pair = np.append(pair, np.arange(len(a)))
+        covered = sum(_covered(np.append(v - back, end - tail), np.append(v + ahead, end), pair, len(a)) for v, end in ((x, self.ends[a]), (y, self.ends[b])))
+        both, some = self.sizes[a] + self.sizes[b], (self.sizes[a] > 0) & (self.sizes[b] > 0)
+        return np.where(some, covered / np.maximum(both, 1), (both == 0).astype(float))
 
-def likeness(a: PrefixHash, b: PrefixHash) -> float:
-    """Part of the code points of both texts that their common spans cover."""
-    if not a.n or not b.n:
-        return float(a.n == b.n)
-    _, i, j = np.intersect1d(*(x.anchors()[0] for x in (a, b)), assume_unique=True, return_indices=True)
-    pa_, pb = a.anchors()[1][i], b.anchors()[1][j]
-    pa_, pb = np.append(pa_, 0), np.append(pb, 0)
-    ahead = a.common_extension(pa_, b, pb)
-    on = ahead >= SPAN  # the hash of an anchor is short, its span is compared
-    on[-1] = True
-    pa_, pb, ahead = pa_[on], pb[on], ahead[on]
-    back = a.common_extension(pa_, b, pb, back=True)
-    tail = int(a.common_extension(a.n, b, b.n, back=True)[0])
-    spans = [(np.append(p - back, x.n - tail), np.append(p + ahead, x.n)) for p, x in ((pa_, a), (pb, b))]
-    return (_covered(*spans[0]) + _covered(*spans[1])) / (a.n + b.n)
 
+def likeness(a: str, b: str) -> float:
+    return float(Texts([a, b]).likeness(np.array([0]), np.array([1]))[0])
 
-def to_text(p: PrefixHash) -> str:
-    """Length, hash of the whole text and smallest span hashes; empty for an empty text."""
-    return f"{p.n:x}-{p.whole():016x}-" + "".join(f"{x:0{_HEX}x}" for x in p.fingerprint().tolist()) if p.n else ""
+
+def fingerprint_of(text: str) -> str:
+    return Texts([text]).fingerprint(0)
 
 
 def estimate(a: str, b: str, keep: int = KEEP) -> float:
     """From two fingerprints alone: the Dice coefficient of the span sets, by the smallest hashes of their union (error about ``1 / sqrt(keep)``)."""
-    a, b = (np.array([int(h[i : i + _HEX], 16) for h in [x.rpartition("-")[2]] for i in range(0, len(h), _HEX)], np.uint64) for x in (a, b))
+    a, b = (np.frombuffer(bytes.fromhex(x.rpartition("-")[2]), ">u8").astype(np.uint64) for x in (a, b))
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     both = np.union1d(a, b)[:keep]
@@ -224,12 +248,13 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches):
         for b in batches:
-            texts = [t.as_py() or "" for t in b.column(1)]
-            out = [pa.array([len(t) for t in texts], pa.int64()), pa.array([to_text(PrefixHash(t)) for t in texts], pa.string())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *out], names=[id_col, "n_chars", "fingerprint"])
+            for i in range(0, b.num_rows, _ROWS):
+                texts = [t.as_py() or "" for t in b.column(1).slice(i, _ROWS)]
+                made = [fingerprint_of(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, _ROWS), pa.array([len(t) for t in texts], pa.int64()), pa.array(made, pa.string())], names=[id_col, "n_chars", "fingerprint"])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, n_chars long, fingerprint string")
+    return src.mapInArrow(batches_then_rest(run), f"`{id_col}` {src.dtypes[0][1]}, n_chars long, fingerprint string")
 
 
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,31 +290,51 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 _OUT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
 
 
+def _compared(pairs: list[tuple]) -> pa.RecordBatch:
+    """The result's rows for consecutive (id, text, next text)."""
+    m = len(pairs)
+    texts = [t for _, t, _ in pairs]
+    after = np.empty(m, np.int64)  # the next text is the following pair's own, or one more
+    for k, (_, _, nxt) in enumerate(pairs):
+        if k + 1 < m and pairs[k + 1][1] is nxt:
+            after[k] = k + 1
+        else:
+            after[k] = len(texts)
+            texts.append(nxt)
+    edited = [t[: len(t) - len(t) // 2] + nxt[: len(t) // 2] for _, t, nxt in pairs]
+    first = len(texts)
+    every = Texts(texts + edited)
+    own = np.arange(m)
+    near_edited, near_next = every.likeness(own, first + own), every.likeness(own, after)
+    columns = [
+        [i for i, _, _ in pairs], [len(t) for _, t, _ in pairs], [hashlib.sha256(e.encode()).hexdigest() for e in edited],
+        [every.fingerprint(k) for k in range(m)], [every.fingerprint(first + k) for k in range(m)], near_edited, near_next,
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _OUT, strict=True)], names=[n for n, _ in _OUT])
+
+
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, with their likeness to one another and to the next document's."""
+    """Fingerprints of every text and of its edited text, with its likeness to the edited and to the next document's."""
 
     def run(batches):
-        last = None  # the row before: id, text, prefix arrays, range, after
+        last, pairs, held = None, [], 0  # the row before: id, text, range, after
         for b in batches:
-            out = []
             for i, text, range_, after in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                done = last is None or last[3] != range_ or last[4]
+                done = last is None or last[2] != range_ or last[3]
                 if done and after:
                     continue
-                p = PrefixHash(text)
                 if not done:
-                    n, own = len(last[1]), last[2]
-                    k = n // 2
-                    edited = last[1][: n - k] + text[:k]
-                    mark = to_text(own)
-                    e = PrefixHash(edited, own, n - k)
-                    out.append((last[0], n, hashlib.sha256(edited.encode()).hexdigest(), mark, to_text(e), likeness(own, e), likeness(own, p)))
-                last = (i, text, p, range_, after)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _OUT, strict=True)], names=[n for n, _ in _OUT])
+                    pairs.append((last[0], last[1], text))
+                    held += len(last[1])
+                    if held >= TOGETHER:
+                        yield _compared(pairs)
+                        pairs, held = [], 0
+                last = (i, text, range_, after)
+        if pairs:
+            yield _compared(pairs)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_order(docs, id_col, text_col).mapInArrow(run, schema)
+    return in_order(docs, id_col, text_col).mapInArrow(batches_then_rest(run), schema)
 
 
 def query(spark, sf_dir):
