@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 #: Marks sentence starts; a control character that no text uses.
 MARK = "\u0003"
 
-# ---- fixed values: word lists that results depend on ----
-STOP_WORDS = """
-the a an this that these those there here it its he she they we you i if when while for and but or so because however
-several many most some both each every all based given considering depending according overall generally typically usually
-often note important best top other another first second third finally additionally furthermore moreover meanwhile therefore
-unfortunately fortunately ultimately although determining choosing finding looking using here's what which who how why where
-yes no do does did can should would will are is
-""".split()
+# ---- fixed values: word lists and patterns that results depend on ----
+STOP_WORDS = [
+    "the", "a", "an", "this", "that", "these", "those", "there", "here", "it", "its", "he", "she", "they", "we", "you", "i", "if", "when",
+    "while", "for", "and", "but", "or", "so", "because", "however", "several", "many", "most", "some", "both", "each", "every", "all",
+    "based", "given", "considering", "depending", "according", "overall", "generally", "typically", "usually", "often", "note",
+    "important", "best", "top", "other", "another", "first", "second", "third", "finally", "additionally", "furthermore", "moreover",
+    "meanwhile", "therefore", "unfortunately", "fortunately", "ultimately", "although", "determining", "choosing", "finding", "looking",
+    "using", "here's", "what", "which", "who", "how", "why", "where", "yes", "no", "do", "does", "did", "can", "should", "would", "will",
+    "are", "is",
+]
 GENERIC_RUNS = [
-    *"ai seo aeo geo llm faq usa us uk google chatgpt perplexity gemini claude copilot grok".split(),
-    "google ai overview", "ai overview", "bing", "yandex",
-    *"january february march april may june july august september october november december".split(),
-    *"monday tuesday wednesday thursday friday saturday sunday bbb".split(), "better business bureau",
+    "ai", "seo", "aeo", "geo", "llm", "faq", "usa", "us", "uk", "google", "chatgpt", "perplexity", "gemini", "claude", "copilot", "grok",
+    "google ai overview", "ai overview", "bing", "yandex", "january", "february", "march", "april", "may", "june", "july", "august",
+    "september", "october", "november", "december", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday", "bbb",
+    "better business bureau",
 ]
 GENERIC_SPANS = [
     "small business", "small businesses", "ai", "seo", "aeo", "geo", "chatgpt", "perplexity", "gemini", "claude", "copilot",
@@ -35,11 +37,15 @@ LABEL_STARTS = [
     "consider", "avoid", "overall", "verdict",
 ]
 LABEL_WHOLE = ["pros?", "cons?"]
-CLAUSE_WORDS = "are is was were they you your their its has have".split()
-CONNECTORS = "of the and for de la".split()
-LEGAL_SUFFIXES = "llc inc incorporated corp corporation co company ltd limited plc llp lp pllc pc gmbh".split()
-ARTICLES = "the a an".split()
-REDACTED_PARAMS = "key api_key apikey token".split()
+CLAUSE_WORDS = ["are", "is", "was", "were", "they", "you", "your", "their", "its", "has", "have"]
+CONNECTORS = ["of", "the", "and", "for", "de", "la"]
+LEGAL_SUFFIXES = ["llc", "inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llp", "lp", "pllc", "pc", "gmbh"]
+ARTICLES = ["the", "a", "an"]
+REDACTED_PARAMS = ["key", "api_key", "apikey", "token"]
+SENTENCE_START = r"(?Umd)(?<=[.!?:;])\s+|\n+|^\s*[-*•]\s*"
+URL_HOST = r"https?://([^/]+)"
+LAST_LABEL, SECOND_LEVEL, HOST_PARTS = r"\.[^.]*$", r"\.(co|com|org|net|gov|edu|ac)$", r"[.\-]"
+DETAIL_CHARS, WORKER_CHARS, SHOWN_CHARS = 300, 500, 110
 # ---- end of fixed values ----
 
 _RUN_CHAR = r"[A-Za-z0-9&'’.\-]"
@@ -124,7 +130,7 @@ def _subject_forms(subject: Column | None, variants: Column | None, form) -> Col
 
 def mark_sentences(text: Column) -> Column:
     """The text with a mark at every place where a sentence, line or list item begins."""
-    return F.concat(F.lit(MARK), F.regexp_replace(text, r"(?Umd)(?<=[.!?:;])\s+|\n+|^\s*[-*•]\s*", "$0" + MARK))
+    return F.concat(F.lit(MARK), F.regexp_replace(text, SENTENCE_START, "$0" + MARK))
 
 
 def capital_runs(text: Column) -> Column:
@@ -145,35 +151,56 @@ def domain_tokens(sources: Column) -> Column:
     """Name parts of the cited domains, sorted."""
 
     def of_url(u: Column) -> Column:
-        host = F.replace(F.lower(F.regexp_extract(or_empty(u), r"https?://([^/]+)", 1)), F.lit("www."), F.lit(""))
-        core = F.regexp_replace(F.regexp_replace(host, r"\.[^.]*$", ""), r"\.(co|com|org|net|gov|edu|ac)$", "")
-        return F.filter(F.split(core, r"[.\-]"), lambda p: F.length(p) >= 4)
+        host = F.replace(F.lower(F.regexp_extract(or_empty(u), URL_HOST, 1)), F.lit("www."), F.lit(""))
+        core = F.regexp_replace(F.regexp_replace(host, LAST_LABEL, ""), SECOND_LEVEL, "")
+        return F.filter(F.split(core, HOST_PARTS), lambda p: F.length(p) >= 4)
 
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.coalesce(sources, F.array().cast("array<string>")), of_url))))
 
 
+def _first_at_least(items: Column, x: Column) -> Column:
+    """Position of the first of sorted ``items`` that isn't smaller than ``x``, by binary search."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(items) + 1)).cast("int"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        less = F.coalesce(F.get(items, mid) < x, F.lit(False)) & (s["low"] < s["high"])
+        return F.struct(F.when(less, mid + 1).otherwise(s["low"]).alias("low"), F.when(less, s["high"]).otherwise(mid).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(items).alias("high")), halve, lambda s: s["low"])
+
+
 def entities_from_runs(runs: Column, subject: Column | None = None, variants: Column | None = None, sources: Column | None = None) -> Column:
-    """Names among ``capital_runs``; give the runs as a column of their own, so that they are found once."""
-    later = F.transform(F.filter(runs, lambda r: ~r["initial"]), lambda r: r["key"])
-    domains = F.filter(domain_tokens(sources), lambda t: F.length(t) >= 5) if sources is not None else None
+    """Names among ``capital_runs``; give the runs as a column of their own, so that they are found once.
+
+    What all runs are compared with is made once for each text and bound to a
+    variable; keys are looked up in it by binary search, so that the time grows
+    with the runs, times the logarithm of their number.
+    """
+    later = F.array_sort(F.transform(F.filter(runs, lambda r: ~r["initial"]), lambda r: r["key"]))
+    none = F.array().cast("array<string>")
+    domains = F.filter(domain_tokens(sources), lambda t: F.length(t) >= 5) if sources is not None else none
     forms = _subject_forms(subject, variants, flat)
+    text = F.struct(runs.alias("runs"), later.alias("later"), domains.alias("domains"), (none if forms is None else forms).alias("forms"))
 
-    def keep(r: Column) -> Column:
-        span, key, initial = r["span"], r["key"], r["initial"]
-        words = F.split(key, r"(?U)\s+")
-        first, n, f = words[0], F.size(words), flat(key)
-        stop = first.isin(STOP_WORDS)
-        ok = (f != "") & ~key.isin(GENERIC_RUNS) & ~((n == 1) & stop) & (F.length(span) >= 3) & (n <= 6)
-        if forms is not None:
-            ok = ok & ~F.array_contains(forms, f) & ~((F.length(f) > 4) & F.exists(forms, lambda s: F.contains(s, f)))
-        brand = span.rlike("^[A-Z][a-z0-9]*[A-Z]") | span.rlike(r"[.\d]") | (F.size(F.filter(later, lambda k: k == key)) >= 2)
-        acronym = ~span.rlike("[a-z]") & (F.length(span) <= 4)
-        bars = ((n >= 2) & ~initial & ~stop) | (initial & F.array_contains(later, key)) | ((n == 1) & ~initial & brand & ~acronym)
-        if domains is not None:
-            bars = bars | F.exists(domains, lambda t: F.contains(f, t))
-        return ok & bars
+    def names(t: Column) -> Column:
+        def keep(r: Column) -> Column:
+            span, key, initial = r["span"], r["key"], r["initial"]
+            words = F.split(key, r"(?U)\s+")
+            first, n, f = words[0], F.size(words), flat(key)
+            stop = first.isin(STOP_WORDS)
+            ok = (f != "") & ~key.isin(GENERIC_RUNS) & ~((n == 1) & stop) & (F.length(span) >= 3) & (n <= 6)
+            ok = ok & ~F.array_contains(t["forms"], f) & ~((F.length(f) > 4) & F.exists(t["forms"], lambda s: F.contains(s, f)))
+            times = lambda k: F.coalesce(F.get(t["later"], _first_at_least(t["later"], key) + (k - 1)) == key, F.lit(False))
+            acronym = ~span.rlike("[a-z]") & (F.length(span) <= 4)
+            brand = (n == 1) & ~initial & ~acronym
+            bars = ((n >= 2) & ~initial & ~stop) | (brand & (span.rlike("^[A-Z][a-z0-9]*[A-Z]") | span.rlike(r"[.\d]")))
+            bars = bars | (initial & times(1)) | (brand & times(2)) | F.exists(t["domains"], lambda d: F.contains(f, d))
+            return ok & bars
+
+        return F.array_distinct(F.transform(F.filter(t["runs"], keep), lambda r: r["span"]))
 
-    return F.array_distinct(F.transform(F.filter(runs, keep), lambda r: r["span"]))
+    return F.get(F.transform(F.array(text), names), 0)
 
 
 def mentioned(text: Column, names: Column) -> Column:
@@ -199,7 +226,24 @@ def redact_worker(text: Column, secrets: dict[str, str]) -> Column:
 
 def error_text(engine: Column, code: Column, detail: Column) -> Column:
     """The note of a refused call; code 429 is a matter of quota."""
-    return F.concat(F.when(code == 429, "QUOTA: ").otherwise(""), engine, F.lit(" HTTP "), code.cast("string"), F.lit(": "), F.left(or_empty(detail), F.lit(300)))
+    return F.concat(F.when(code == 429, "QUOTA: ").otherwise(""), engine, F.lit(" HTTP "), code.cast("string"), F.lit(": "), F.left(or_empty(detail), F.lit(DETAIL_CHARS)))
+
+
+def worker_text(answer: Column, error: Column, secrets: dict[str, str]) -> Column:
+    """What a worker writes: its answer, or its error, without secrets and cut."""
+    return F.when(error.isNull(), answer).otherwise(F.concat(F.lit("WORKER_FAILED: "), F.left(redact_worker(error, secrets), F.lit(WORKER_CHARS))))
+
+
+def plan_line(cadence: Column, business: Column, reason: Column, signals: Column) -> Column:
+    """A printed plan's lines for one subject; signals are cut."""
+    shown = F.transform(signals, lambda s: F.concat(F.lit("\n         ! "), F.left(s, F.lit(SHOWN_CHARS))))
+    name = F.concat(business, F.repeat(F.lit(" "), F.greatest(F.lit(0), 28 - F.length(business))))
+    return F.concat(F.lit("["), F.rpad(F.upper(cadence), 4, " "), F.lit("] "), name, F.lit(" "), reason, F.array_join(shown, ""))
+
+
+def utc_date(at: Column) -> Column:
+    """The UTC day of a timestamp as text, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(at) / 86400).cast("int")).cast("string")
 
 
 def parse_error(note: Column) -> Column:

@@ -18,7 +18,7 @@ SKIPPED = [
     "google.", "gstatic.", "googleusercontent.", "googleadservices.", "youtube.com/redirect", "accounts.google", "policies.google",
     "support.google", "webcache.", "schema.org", "w3.org",
 ]
-TRACKING_PARAMS = "sa ved usg source cd cad uact opi sca_esv gs_lcp ei oq sclient bih biw".split()
+TRACKING_PARAMS = ["sa", "ved", "usg", "source", "cd", "cad", "uact", "opi", "sca_esv", "gs_lcp", "ei", "oq", "sclient", "bih", "biw"]
 OVERVIEW_MARKERS = ["AI Overview", "AI overview", "aiOverview", 'data-attrid="AIOverview"']
 CONSENT = ["before you continue", "consent.google"]
 CAPTCHA = ["unusual traffic", "recaptcha"]
