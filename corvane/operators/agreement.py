@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +40,16 @@ def with_names(rows: DataFrame) -> DataFrame:
 def pairs(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     """One row for each two usable answers of different engines in a group, the earlier first.
 
-    Answers are gathered by group in a single shuffle and paired within the
-    row, so that names are extracted once and nothing is joined to itself.
+    Names are extracted once per answer, before answers of a group meet by an
+    equality join on ``by``. Pairs are emitted one by one, so neither a group nor
+    its pairs are gathered in a row, and a large group can be split.
     """
     fields = [order, "engine", "business_mentioned", "names", "canonical_names", F.length("answer_verbatim").cast("long").alias("chars")]
-    groups = with_names(usable(rows)).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("rows"))
-    later = lambda a, i: F.filter(F.slice(F.col("rows"), i + 2, F.size("rows")), lambda b: ~b["engine"].eqNullSafe(a["engine"]))
-    both = F.flatten(F.transform(F.col("rows"), lambda a, i: F.transform(later(a, i), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return groups.select(*by, F.explode(both).alias("p")).select(*by, F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+    named = with_names(usable(rows)).select(*by, F.struct(*fields).alias("r"))
+    a = named.select(*by, F.col("r").alias("a"))
+    b = named.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("r").alias("b"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
+    return a.join(b, same & (F.col("a") < F.col("b")) & ~F.col("a.engine").eqNullSafe(F.col("b.engine"))).select(*by, "a", "b")
 
 
 def scored(found: DataFrame) -> DataFrame:
@@ -89,9 +94,15 @@ def pair_agreement(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     return scored(pairs(rows, by, order)).select(*by, F.col("a")[order].alias("order_a"), F.col("b")[order].alias("order_b"), *fields)
 
 
-def agreement_rows(rows: DataFrame, by: list[str], order: str) -> DataFrame:
-    """A row per group with its engines, number of usable answers and array of pairs, in order."""
+def agreement_rows(rows: DataFrame, by: list[str], order: str, prompt: str | None = None, check_id: Column | None = None) -> DataFrame:
+    """A row per group with its engines, number of usable answers and array of pairs, in order.
+
+    ``prompt`` names the column of the question, the same in a group; ``check_id``
+    makes the row's first identifier of the columns ``by``.
+    """
     found = scored(pairs(rows, by, order)).select(*by, F.struct(F.col("a")[order].alias("i"), F.col("b")[order].alias("j"), F.struct(*[c.alias(n) for n, c in pair_fields().items()]).alias("pair")).alias("p"))
     listed = found.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["pair"]).alias("pairs"))
-    groups = usable(rows).groupBy(*by).agg(F.array_sort(F.collect_set("engine")).alias("engines_compared"), F.count("*").alias("engines_usable"))
-    return groups.join(listed, by, "left").withColumns({"pairs": F.coalesce("pairs", F.array().cast(listed.schema["pairs"].dataType)), "row_type": F.lit("agreement"), "method_note": F.lit(METHOD_NOTE)})
+    asked = [F.min(prompt).alias("prompt_text")] if prompt else []
+    groups = usable(rows).groupBy(*by).agg(F.array_sort(F.collect_set("engine")).alias("engines_compared"), F.count("*").alias("engines_usable"), *asked)
+    out = groups.join(listed, by, "left").withColumns({"pairs": F.coalesce("pairs", F.array().cast(listed.schema["pairs"].dataType)), "row_type": F.lit("agreement"), "method_note": F.lit(METHOD_NOTE)})
+    return out if check_id is None else out.withColumn("check_id", check_id)

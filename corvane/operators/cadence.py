@@ -61,6 +61,11 @@ def signals() -> Column:
     ))
 
 
+def tier_counts(planned: DataFrame) -> DataFrame:
+    """One row: subjects of a plan, and how many are hot."""
+    return planned.agg(F.count("*").alias("businesses"), F.count_if(F.col("cadence") == HOT).alias("hot"))
+
+
 def plan(rows: DataFrame, key: list[str] | None = None, order: list[str] | None = None, strict: bool = False) -> DataFrame:
     """The cadence of each subject, with its reason and signals.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions.text import or_empty
+from corvane.functions.text import or_empty, slugify
 from corvane.sources.schema import FAILED, OK, QUOTA_BLOCKED, EXTRACTION_FAILED, SCHEMA_VERSION
 
 
@@ -22,16 +22,36 @@ def run_index(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def assign_ids(new: DataFrame, existing: DataFrame, base: str, order: list[str]) -> DataFrame:
     """Adds ``run`` and ``check_id`` to new rows, never one that ``existing.check_id`` has; gaps are filled.
 
-    For every base the free numbers up to (taken + new) are listed and dealt out in order.
+    The ``j``-th taken number ``t`` has ``t - 1 - j`` free ones before it, so the
+    ``i``-th new row gets ``i`` plus how many taken numbers have fewer than ``i``
+    free ones before them: a running count in one pass over each base's rows.
     """
-    taken = existing.select(F.regexp_replace("check_id", r"_r\d+$", "").alias("__base"), F.coalesce(F.nullif(F.regexp_extract("check_id", r"_r(\d+)$", 1), F.lit("")).cast("long"), F.lit(1)).alias("__n"))
-    taken = taken.groupBy("__base").agg(F.collect_set("__n").alias("__taken"))
-    arrived = new.withColumn("__i", F.row_number().over(Window.partitionBy(base).orderBy(*order)))
-    joined = arrived.join(taken, F.col(base) == F.col("__base"), "left")
-    used = F.coalesce("__taken", F.array().cast("array<bigint>"))
-    free = F.filter(F.sequence(F.lit(1).cast("long"), F.size(used) + F.col("__i")), lambda n: ~F.array_contains(used, n))
-    numbered = joined.withColumn("run", F.get(free, F.col("__i") - 1))
-    return numbered.withColumn("check_id", suffixed(F.col(base), F.col("run"))).drop("__i", "__base", "__taken")
+    taken = existing.select(F.regexp_replace("check_id", r"_r\d+$", "").alias("__base"), F.coalesce(F.nullif(F.regexp_extract("check_id", r"_r(\d+)$", 1), F.lit("")).cast("long"), F.lit(1)).alias("__n")).distinct()
+    free = F.col("__n") - F.row_number().over(Window.partitionBy("__base").orderBy("__n"))
+    at = F.row_number().over(Window.partitionBy(base).orderBy(*order)).cast("long")
+    arrived = new.select(F.col(base).cast("string").alias("__base"), at.alias("__at"), F.lit(0).alias("__taken"), F.struct(*[F.col(f"`{c}`") for c in new.columns]).alias("__row"))
+    both = arrived.unionByName(taken.select("__base", free.alias("__at"), F.lit(1).alias("__taken")), allowMissingColumns=True)
+    before = F.sum("__taken").over(Window.partitionBy("__base").orderBy("__at", "__taken").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = both.withColumn("run", F.col("__at") + before).filter("__taken = 0").select("__row.*", "run")
+    return numbered.withColumn("check_id", suffixed(F.col(base), F.col("run")))
+
+
+def guard_ids(new: DataFrame, existing: DataFrame, base: str, order: list[str]) -> DataFrame:
+    """Adds ``check_id`` as ``assign_ids`` does; ``run`` stays 1, as result pages and agreement rows are not numbered by it."""
+    return assign_ids(new, existing, base, order).withColumn("run", F.lit(1).cast("long"))
+
+
+def engine_base(date: Column, business: Column, engine: Column) -> Column:
+    """The first identifier of an engine's row."""
+    return F.concat(F.lit("NB-CZ-API_"), date, F.lit("_"), slugify(business), F.lit("_"), engine)
+
+
+def page_base(date: Column, business: Column) -> Column:
+    return F.concat(F.lit("NB-CZ-SERP_"), date, F.lit("_"), slugify(business))
+
+
+def agreement_base(date: Column, business: Column) -> Column:
+    return F.concat(F.lit("NB-CZ-AGREE_"), date, F.lit("_"), slugify(business))
 
 
 def rotation_offset(date: Column, n: Column) -> Column:
@@ -41,7 +61,11 @@ def rotation_offset(date: Column, n: Column) -> Column:
 
 
 def rotate(rows: DataFrame, order: list[str], date: Column) -> DataFrame:
-    """Adds ``position``: rows in ``order``, turned by the date's offset. For rosters, which are small."""
+    """Adds ``position``: rows in ``order``, turned by the date's offset.
+
+    Ranks are taken in one task: a roster is a list of subjects that people keep,
+    of some thousand rows, and doesn't grow with the observations.
+    """
     w = Window.orderBy(*order)
     at = rows.withColumns({"__p": F.row_number().over(w).cast("long") - 1, "__n": F.count("*").over(Window.partitionBy())})
     return at.withColumn("position", F.pmod(F.col("__p") - rotation_offset(date, F.col("__n")), F.col("__n"))).drop("__p", "__n")
@@ -52,19 +76,24 @@ def active(roster: DataFrame) -> DataFrame:
 
 
 def probes(roster: DataFrame, engines: DataFrame) -> DataFrame:
-    """Every active subject with every engine: two small dimension tables."""
-    return active(roster).crossJoin(F.broadcast(engines))
+    """Every active subject with every engine: two small dimension tables, whose product is the result. Spark chooses the side that travels by size."""
+    return active(roster).crossJoin(engines)
 
 
-def base_row() -> list[Column]:
-    """Fields that every new row takes from the roster, with their defaults."""
+def base_row(date: Column, check_id: Column, engine: Column, channel: str = "api", run: Column | None = None) -> list[Column]:
+    """The fields of every new row: from the roster, with their defaults, and of the run."""
     return [
+        check_id.alias("check_id"),
+        date.alias("date_utc"),
         F.col("business"),
         F.coalesce("niche", F.lit("")).alias("niche"),
         F.coalesce("market", F.lit("")).alias("market"),
         F.coalesce("row_type", F.lit("business")).alias("row_type"),
         F.lit(1).cast("long").alias("prompt_variant"),
+        (F.lit(1).cast("long") if run is None else run).alias("run"),
         F.col("prompt_1").alias("prompt_text"),
+        engine.alias("engine"),
+        F.lit(channel).alias("run_channel"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
     ]
 
@@ -78,7 +107,13 @@ def page_status(ok: Column, organic: Column) -> Column:
     return F.when(~F.coalesce(ok, F.lit(False)), FAILED).when(F.size(organic) > 0, OK).otherwise(EXTRACTION_FAILED)
 
 
+def index_id(n: Column) -> Column:
+    """The identifier of the ``n``-th index row, of four digits at least."""
+    digits = n.cast("string")
+    return F.concat(F.lit("NB-CZ-"), F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits))
+
+
 def next_index_id(rows: DataFrame, id_col: str = "check_id") -> DataFrame:
     """One row: the number of index rows that aren't corrections, and the next identifier."""
     n = F.count_if(F.col(id_col).startswith("NB-CZ-") & ~F.contains(F.col(id_col), F.lit("FIX")))
-    return rows.agg(n.alias("n_rows")).select("n_rows", F.concat(F.lit("NB-CZ-"), F.when(F.col("n_rows") < 9999, F.lpad((F.col("n_rows") + 1).cast("string"), 4, "0")).otherwise((F.col("n_rows") + 1).cast("string"))).alias("next_id"))
+    return rows.agg(n.alias("n_rows")).select("n_rows", index_id(F.col("n_rows") + 1).alias("next_id"))

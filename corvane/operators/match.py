@@ -53,19 +53,29 @@ def overlap(a: Column, b: Column) -> Column:
     return F.struct(met["shared"].alias("shared"), only_a.alias("only_a"), only_b.alias("only_b"))
 
 
+def _rarest_word(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """(name, word): of each distinct canonical name the word that the fewest names have."""
+    words = names.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("word")).join(counts, "word")
+    return words.groupBy("name").agg(F.min(F.struct("n", "word"))["word"].alias("word"))
+
+
 def entity_join(left: DataFrame, right: DataFrame, left_name: str, right_name: str, left_cols: list[str], right_cols: list[str]) -> DataFrame:
     """All pairs of rows whose names match, without a nested-loop join.
 
-    A phrase that another name holds whole begins with one of the other's words.
-    So each name is listed under its first word, and probed with each of its
-    words; candidates meet by equality and are verified. Output columns must
-    not clash.
+    A phrase that another name holds whole has all its words there. So each
+    distinct name is listed under its rarest word, and probed with each of its
+    words; candidates meet by equality on a word, one that few names share, and
+    are verified. Rows follow their names at the end. Output columns must not
+    clash.
     """
     a = left.withColumn("__ca", canonical(F.col(left_name))).filter("__ca <> ''")
     b = right.withColumn("__cb", canonical(F.col(right_name))).filter("__cb <> ''")
-    first = lambda c: F.substring_index(F.col(c), " ", 1)
-    each = lambda c: F.explode(F.array_distinct(F.split(F.col(c), " ")))
+    names_a, names_b = a.select(F.col("__ca").alias("name")).distinct(), b.select(F.col("__cb").alias("name")).distinct()
+    counts = names_a.unionByName(names_b).select(F.explode(F.array_distinct(F.split("name", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    each = lambda names, c: names.select(F.col("name").alias(c), F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
+    rare = lambda names, c: _rarest_word(names, counts).withColumnRenamed("name", c)
     # the shorter name is on the left, or, strictly, on the right: no pair is found twice
-    short_left = a.withColumn("__w", first("__ca")).join(b.withColumn("__w", each("__cb")), "__w").filter(F.length("__ca") <= F.length("__cb"))
-    short_right = a.withColumn("__w", each("__ca")).join(b.withColumn("__w", first("__cb")), "__w").filter(F.length("__ca") > F.length("__cb"))
-    return short_left.unionByName(short_right).filter(same_canonical(F.col("__ca"), F.col("__cb"))).select(*left_cols, *right_cols)
+    short_left = rare(names_a, "x").join(each(names_b, "y"), "word").filter(F.length("x") <= F.length("y"))
+    short_right = each(names_a, "x").join(rare(names_b, "y"), "word").filter(F.length("x") > F.length("y"))
+    pairs = short_left.unionByName(short_right).filter(same_canonical(F.col("x"), F.col("y"))).select("x", "y")
+    return pairs.join(a, F.col("x") == F.col("__ca")).join(b, F.col("y") == F.col("__cb")).select(*left_cols, *right_cols)

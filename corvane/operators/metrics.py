@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,20 +44,22 @@ def citation_spans(rows: DataFrame, key: str = "business", date: str = "date_utc
     return cited.groupBy(key, "source").agg(F.min("d").alias("first_date"), F.max("d").alias("last_date"), F.count("*").alias("n_cited")).withColumn("days", F.date_diff("last_date", "first_date"))
 
 
-def rank_to_citation(pages: DataFrame, answers: DataFrame, by: list[str]) -> DataFrame:
+def rank_to_citation(pages: DataFrame, answers: DataFrame, by: list[str], keep: Sequence[str] = ()) -> DataFrame:
     """Beyond the observed corpus' own figures: each ranked result of a page, and how many answers to the same question name its domain.
 
-    ``pages`` has ``organic_top_results``, ``answers`` has ``names``; domain and
-    name meet by equality of the question and of the squashed name's tokens.
+    ``pages`` has ``organic_top_results``, ``answers`` has ``names``. Answers are
+    counted by distinct squashed names of a question; a domain's names meet them
+    by equality of the question, and are compared by containment.
     """
-    ranked = pages.select(*by, F.posexplode("organic_top_results").alias("at", "url")).withColumns({"rank": F.col("at") + 1, "tokens": domain_tokens(F.array("url"))})
-    named = answers.groupBy(*by).agg(F.collect_list(F.transform("names", flat)).alias("answers"))
-    hit = lambda names: F.exists(names, lambda n: F.exists(F.col("tokens"), lambda t: (F.length(t) >= 5) & F.contains(n, t)))
-    found = F.coalesce(F.size(F.filter("answers", hit)), F.lit(0)).cast("long")
-    return ranked.join(named, by, "left").select(*by, "rank", "url", found.alias("n_answers"))
+    ranked = pages.select(*by, *keep, F.posexplode("organic_top_results").alias("at", "url")).withColumns({"rank": F.col("at") + 1, "tokens": F.filter(domain_tokens(F.array("url")), lambda t: F.length(t) >= 5)})
+    named = answers.select(*by, F.array_sort(F.array_distinct(F.transform("names", flat))).alias("names")).groupBy(*by, "names").agg(F.count("*").alias("n"))
+    lists = named.groupBy(*by).agg(F.collect_list(F.struct("names", "n")).alias("lists"))
+    hit = lambda x: F.exists(x["names"], lambda n: F.exists(F.col("tokens"), lambda t: F.contains(n, t)))
+    found = F.aggregate(F.filter("lists", hit), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    return ranked.join(lists, by, "left").select(*by, *keep, "rank", "url", F.coalesce(found, F.lit(0).cast("long")).alias("n_answers"))
 
 
 def date_gaps(dates: DataFrame, date: str, step_days: int) -> DataFrame:
-    """Dates that follow the one before by more than ``step_days``."""
+    """Dates that follow the one before by more than ``step_days``. Distinct days, some hundred a year, are ordered in one task."""
     seen = dates.select(F.col(date).cast("date").alias("day")).distinct()
     return seen.withColumn("before", F.lag("day").over(Window.orderBy("day"))).withColumn("gap_days", F.date_diff("day", "before").cast("long")).filter(F.col("gap_days") > step_days)
