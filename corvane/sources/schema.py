@@ -29,9 +29,11 @@ OBSERVATION = _struct(
 
 ROSTER = _struct(roster=T.ArrayType(_struct(business=_S, niche=_S, market=_S, row_type=_S, active=_B, prompt_1=_S, variants_business_name_forms=_A)))
 
+INDEX_ROW = _struct(check_id=_S, date_utc=_S, engine=_S, prompt_variant=_S, business_mentioned=_B, competitors_mentioned=_A, note=_S)
+
 INDEX = _struct(
     schema_version=_S, spec=_S, doctrine=_S, subject=_S, category=_S, started_utc=_S,
-    rows=T.ArrayType(_struct(check_id=_S, date_utc=_S, engine=_S, prompt_variant=_S, business_mentioned=_B, competitors_mentioned=_A, note=_S)),
+    rows=T.ArrayType(INDEX_ROW),
     pending=T.ArrayType(_struct(engine=_S, status=_S, note=_S)),
 )
 

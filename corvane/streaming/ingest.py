@@ -18,9 +18,9 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(path)
 
 
-def stream(spark: SparkSession, path: str, files_per_trigger: int = 10_000) -> DataFrame:
-    """New files of a JSON corpus as a stream, with their names."""
-    rows = spark.readStream.schema(OBSERVATION).option("multiLine", True).option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger).json(path)
+def stream(spark: SparkSession, path: str, files_per_trigger: int = 10_000, multi_line: bool = True) -> DataFrame:
+    """New files of a JSON corpus as a stream, with their names: an object per file, or without ``multi_line`` per line."""
+    rows = spark.readStream.schema(OBSERVATION).option("multiLine", multi_line).option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger).json(path)
     return rows.withColumn("file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).filter(F.coalesce("business", F.lit("")) != "")
 
 
@@ -28,7 +28,9 @@ def append_batch(batch: DataFrame, path: str, reject_backdated: bool = True) ->
     """Appends the rows of a batch that the corpus lacks; returns what was rejected as back-dated.
 
     Idempotent: identifiers already present are left out, so a batch that is
-    run again after a failure adds nothing twice.
+    run again after a failure adds nothing twice. An identifier holds its date,
+    so only stored rows of the batch's dates are looked through: the filter
+    reaches the scan, and folders or row groups of other dates are not read.
     """
     spark = batch.sparkSession
     whole = spark.createDataFrame([], STORED).unionByName(batch, allowMissingColumns=True).select(*STORED.names)
@@ -41,7 +43,9 @@ def append_batch(batch: DataFrame, path: str, reject_backdated: bool = True) ->
             raise
         kept = None
     if kept is not None:
-        new = new.join(kept.select("check_id"), "check_id", "left_anti")
+        dates = [r[0] for r in new.select(F.coalesce("date_utc", F.lit(""))).distinct().collect()]  # days of one batch
+        there = kept.filter(F.col("date_utc").isin(dates)) if dates else kept.limit(0)
+        new = new.join(there.select("check_id"), "check_id", "left_anti")
         if reject_backdated:
             last = kept.agg(F.max("date_utc").cast("string").alias("last_date"))
             dated = new.crossJoin(F.broadcast(last))  # one row
@@ -51,10 +55,21 @@ def append_batch(batch: DataFrame, path: str, reject_backdated: bool = True) ->
     return rejected
 
 
-def ingest(spark: SparkSession, source: str, path: str, checkpoint: str, reject_backdated: bool = True) -> None:
-    """Takes in all files that are there and not yet seen, then stops."""
-    query = stream(spark, source).writeStream.foreachBatch(lambda b, _: append_batch(b, path, reject_backdated) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def ingest(spark: SparkSession, source: str, path: str, checkpoint: str, reject_backdated: bool = True, late_path: str | None = None, multi_line: bool = True) -> None:
+    """Takes in all files that are there and not yet seen, then stops.
+
+    Back-dated rows go to ``late_path``, a folder for each batch, which a batch
+    that is run again writes anew; without that path they are left out.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        late = append_batch(batch, path, reject_backdated)
+        if late_path and not late.isEmpty():
+            late.write.mode("overwrite").parquet(f"{late_path}/batch={number}")
+        batch.unpersist()
+
+    stream(spark, source, multi_line=multi_line).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def cadence_now(spark: SparkSession, path: str, **options) -> DataFrame:
