@@ -72,7 +72,7 @@ def test_rates_and_taxonomy(spark, folder):
     assert [tuple(x) for x in metrics.failure_taxonomy(rows).collect()] == [("QUOTA_BLOCKED", "gemini", 429, 1)]
 
 
-ANSWERS = [("Acme", 1, "gemini", "OK", "We like St. Louis Painters, then Kennedy Painting LLC a lot", True), ("Acme", 2, "openai", "OK", "ask Kennedy Painting or Blue Barn Co today", None), ("Acme", 3, "gemini", "OK", "nothing here", False), ("Acme", 4, "anthropic", "FAILED", "x", None), ("Acme", 5, "anthropic", "OK", "", None)]
+ANSWERS = [("Acme", 1, "gemini", "OK", "We like Port Avon Painters, then Harrow Painting LLC a lot", True), ("Acme", 2, "openai", "OK", "ask Harrow Painting or Blue Mill Co today", None), ("Acme", 3, "gemini", "OK", "nothing here", False), ("Acme", 4, "anthropic", "FAILED", "x", None), ("Acme", 5, "anthropic", "OK", "", None)]
 
 
 def test_agreement(spark):
@@ -89,47 +89,47 @@ def test_agreement(spark):
     assert alone.pairs == []
 
 
-def _overlap(a, b, same):
-    left, right = [x for x in a if match_key(x)], [y for y in b if match_key(y)]
-    shared, used = [], set()
-    for x in left:
-        j = next((j for j, y in enumerate(right) if j not in used and same(x, y)), None)
-        if j is not None:
-            shared.append(x), used.add(j)
-    return shared, [x for x in left if x not in shared], [y for j, y in enumerate(right) if j not in used]
-
-
-def match_key(x):
-    from test_text import canonical
-
-    return canonical(x)
+# two lists of names -> shared, only in the first, only in the second
+OVERLAP = [
+    ([], [], [], [], []),
+    (["Harrow Painting"], ["Harrow Painting LLC", "Orlo"], ["Harrow Painting"], [], ["Orlo"]),
+    (["Orlo", "Orlo"], ["ORLO Inc"], ["Orlo"], [], []),  # the repeated name counts as shared too
+    (["Inc", "The Co"], ["Ltd"], [], [], []),  # nothing identifies these
+    (["Orchard", "Orchard Supply"], ["Orchard Supply", "Orchard"], ["Orchard", "Orchard Supply"], [], []),
+    (["Old Mill Works", "Mill"], ["Mill Works", "Quay"], ["Old Mill Works"], ["Mill"], ["Quay"]),
+    (["Brindle"], ["Big Brindle", "Brindle"], ["Brindle"], [], ["Brindle"]),  # the first that fits is taken
+    ([], ["Quay", "Co"], [], [], ["Quay"]),
+]
 
 
 def test_overlap(spark):
-    import random
-
-    from test_text import same
-
-    rnd = random.Random(1)
-    pool = ["Kennedy Painting", "Kennedy Painting LLC", "Inc", "AI", "Blue Barn", "The Blue Barn Co", "Barn", "Zip Tie dev", "Zip Tie"]
-    cases = [(i, [rnd.choice(pool) for _ in range(rnd.randrange(6))], [rnd.choice(pool) for _ in range(rnd.randrange(6))]) for i in range(80)]
-    df = spark.createDataFrame(cases, "i long, a array<string>, b array<string>")
-    got = {r.i: r.o for r in df.select("i", match.overlap(F.col("a"), F.col("b")).alias("o")).collect()}
-    for i, a, b in cases:
-        assert (got[i].shared, got[i].only_a, got[i].only_b) == _overlap(a, b, same)
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, *_) in enumerate(OVERLAP)], "i long, a array<string>, b array<string>")
+    got = {r.i: tuple(r.o) for r in df.select("i", match.overlap(F.col("a"), F.col("b")).alias("o")).collect()}
+    assert got == {i: tuple(want) for i, (_, _, *want) in enumerate(OVERLAP)}
 
 
 def test_entity_join(spark):
-    from test_text import NAMES, same
+    from test_text import NAMES
 
-    names = [n for n in NAMES if n]
-    left, right = (spark.createDataFrame([(n,) for n in names], f"{c} string") for c in "ab")
+    left, right = (spark.createDataFrame([(n,) for n in [*NAMES, NAMES[3], None]], f"{c} string") for c in "ab")
     got = sorted(map(tuple, match.entity_join(left, right, "a", "b", ["a"], ["b"]).collect()))
-    assert got == sorted((a, b) for a in names for b in names if same(a, b))
+    every = left.crossJoin(right).filter(match.same_entity(F.col("a"), F.col("b")))
+    assert got == sorted(map(tuple, every.collect())) and len(got) > len(NAMES)
     plan = match.entity_join(left, right, "a", "b", ["a"], ["b"])._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_entity_join_meets_on_rare_words(spark, monkeypatch):
+    """Names that all begin with one word don't all become candidates."""
+    left = spark.range(2000).selectExpr("concat('Harrow ', id, ' Painting') as a")
+    right = spark.range(2000).selectExpr("concat('The Harrow ', id, ' Painting LLC') as b")
+    seen, compare = [], match.same_canonical
+    monkeypatch.setattr(match, "same_canonical", lambda x, y: seen.append(1) or F.lit(True))
+    assert match.entity_join(left, right, "a", "b", ["a"], ["b"]).count() == 2000 and seen
+    monkeypatch.setattr(match, "same_canonical", compare)
+    assert match.entity_join(left, right, "a", "b", ["a"], ["b"]).count() == 2000
+
+
 def test_assign_ids(spark):
     existing = spark.createDataFrame([("X",), ("X_r3",), ("Y_r2",)], "check_id string")
     new = spark.createDataFrame([("X", 1), ("X", 2), ("X", 3), ("Y", 1), ("Z", 1), ("Z", 2)], "base string, at int")
@@ -137,6 +137,26 @@ def test_assign_ids(spark):
     assert got == {("X", 1): "X_r2", ("X", 2): "X_r4", ("X", 3): "X_r5", ("Y", 1): "Y", ("Z", 1): "Z", ("Z", 2): "Z_r2"}
 
 
+def test_assign_ids_against_one_by_one(spark):
+    import random
+
+    rnd = random.Random(4)
+    taken = {b: set(rnd.sample(range(1, 30), rnd.randrange(20))) for b in "PQRS"}
+    new = [(b, i) for b in "PQRST" for i in range(rnd.randrange(1, 40))]
+    existing = spark.createDataFrame([(b if n == 1 else f"{b}_r{n}",) for b, t in taken.items() for n in t] * 2, "check_id string")
+    rows = spark.createDataFrame(new, "base string, at int").repartition(3)
+    want = {}
+    for b, i in new:
+        used = taken.setdefault(b, set())
+        n = next(k for k in range(1, 1000) if k not in used)
+        used.add(n)
+        want[b, i] = (n, b if n == 1 else f"{b}_r{n}")
+    got = identifiers.assign_ids(rows, existing, "base", ["at"]).collect()
+    assert {(r.base, r["at"]): (r.run, r.check_id) for r in got} == want and len(got) == len(new)
+    pages = identifiers.guard_ids(rows, existing, "base", ["at"]).collect()
+    assert {(r.base, r["at"]): (r.run, r.check_id) for r in pages} == {k: (1, i) for k, (_, i) in want.items()}
+
+
 def test_rotation_is_a_permutation(spark):
     for n in (1, 2, 7):
         df = identifiers.rotate(spark.range(n), ["id"], F.lit("2026-08-05"))
@@ -159,7 +179,8 @@ def test_documents_of_lines(spark, tmp_path):
     jobs.mkdir()
     (jobs / "a.md").write_text("WORKER_FAILED: HTTP Error 429: Too Many")
     (jobs / "b.md").write_text("fine\ntext")
-    assert {r.file_name: (r.failed, r.http_code) for r in corpus.worker_outputs(spark, str(jobs)).collect()} == {"a.md": (True, 429), "b.md": (False, None)}
+    got = corpus.worker_outputs(spark, str(jobs)).collect()
+    assert {r.file_name: (r.failed, r.http_code) for r in got} == {"a.md": (True, 429), "b.md": (False, None)} and len(got) == 2
     (tmp_path / "beat.log").write_text("2026-08-03T13:00Z alive\n\nno date\n2026-08-24 alive\n")
     beats = corpus.heartbeat(spark, f"{tmp_path}/beat.log")
     assert beats.count() == 2 and metrics.date_gaps(beats, "at", 7).first().gap_days == 21
@@ -193,6 +214,22 @@ def test_ingest(spark, folder, tmp_path):
     assert ingest.cadence_now(spark, out).filter("business = 'Elk'").first().cadence == "hot"
 
 
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    day = lambda i, d: json.dumps(observation(i, "Acme", d))
+    src, out, late = tmp_path / "src", f"{tmp_path}/out", f"{tmp_path}/late"
+    src.mkdir()
+    (src / "a.json").write_text(day("A_1", "2026-08-05"))
+    ingest.ingest(spark, str(src), out, f"{tmp_path}/mark", late_path=late)
+    (src / "b.json").write_text(day("A_0", "2026-08-01"))
+    (src / "c.json").write_text(day("A_2", "2026-08-06"))
+    (src / "d.json").write_text(day("A_1", "2026-08-05"))
+    ingest.ingest(spark, str(src), out, f"{tmp_path}/mark", late_path=late)
+    ids = lambda p: sorted(r.check_id for r in ingest.stored(spark, p).collect())
+    assert ids(out) == ["A_1", "A_2"] and ids(late) == ["A_0"]
+    ingest.ingest(spark, str(src), out, f"{tmp_path}/other", late_path=late)  # all files again
+    assert ids(out) == ["A_1", "A_2"] and "A_0" in ids(late)
+
+
 def test_windowed_counts(spark, tmp_path):
     src = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     src.write.parquet(f"{tmp_path}/in")
@@ -202,10 +239,10 @@ def test_windowed_counts(spark, tmp_path):
 
 
 def test_rank_to_citation(spark):
-    pages = spark.createDataFrame([("q", ["https://www.kennedy-painting.com/", "https://other.org/"])], "business string, organic_top_results array<string>")
-    answers = spark.createDataFrame([("q", ["Kennedy Painting"]), ("q", ["Nobody"]), ("z", ["Other"])], "business string, names array<string>")
+    pages = spark.createDataFrame([("q", ["https://www.harrow-painting.com/", "https://other.org/"])], "business string, organic_top_results array<string>")
+    answers = spark.createDataFrame([("q", ["Harrow Painting"]), ("q", ["Harrow Painting", "x"]), ("q", ["Harrow Painting"]), ("q", ["Nobody"]), ("z", ["Other"])], "business string, names array<string>")
     got = {r["rank"]: r.n_answers for r in metrics.rank_to_citation(pages, answers, ["business"]).collect()}
-    assert got == {1: 1, 2: 0}
+    assert got == {1: 3, 2: 0}
 
 
 def test_flip_rate(spark):
