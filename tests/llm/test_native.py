@@ -30,6 +30,29 @@ def test_bloom_never_misses(spark):
     assert out.n == 5000 and out.wrong == 0 and out.p < 5300
 
 
+def test_large_filters_are_joined(spark, monkeypatch):
+    """Beyond the size that is broadcast the same verdicts come from joins."""
+    keys = spark.range(5000).selectExpr("concat('h', id % 4000, '.org/p') as canon")
+    urls = spark.range(9000).selectExpr("id as page_id", "case when id % 3 = 0 then 'x://h7.org/p/' when id % 7 = 0 then null else concat('x://h', id, '.org/p') end as url")
+    long = spark.createDataFrame([(-1, "x://h1.org/p?" + "q" * 200_000), (-2, "x://h1.org/" + "p" * 200_000), (-3, "x://" + "h" * 100_000)], "page_id long, url string")
+    pages = urls.unionByName(long)
+    want = sorted(map(tuple, uf.judge(pages, keys).select("page_id", "verdict", "listed").collect()))
+    assert dict((r[0], r[2]) for r in want[:3]) == {-3: False, -2: False, -1: True}
+    monkeypatch.setattr(uf, "BROADCAST_BYTES", 0)
+    joined = uf.judge(pages, keys)
+    assert sorted(map(tuple, joined.select("page_id", "verdict", "listed").collect())) == want
+    assert all(r[2] == (r[0] % 3 == 0 or (r[0] % 7 > 0 and r[0] < 4000)) for r in want[3:])
+
+
+def test_a_list_beyond_the_broadcast_size(spark):
+    """Over 8 MB of filter: four million keys and more."""
+    n = (uf.BROADCAST_BYTES // uf._ROW_BYTES) * 256 // uf.BITS_PER_KEY + 1
+    keys = spark.range(n).selectExpr("concat('k', id, '.org') as canon")
+    pages = spark.range(0, 2 * n, 1009).selectExpr("id as page_id", "concat('x://k', id, '.org/') as url")
+    out = uf.judge(pages, keys).selectExpr("count_if(listed <> (page_id < " + str(n) + ")) wrong", "count(*) n", "count_if(possible and not listed) extra").first()
+    assert out.wrong == 0 and out.n == -(-2 * n // 1009) and out.extra < 0.01 * out.n
+
+
 def _brute(text):
     words = ls.words_of(text or "") if text else []
     places = [(i, label) for p, label in ls.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
