@@ -46,10 +46,11 @@ def pairs(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     """
     fields = [order, "engine", "business_mentioned", "names", "canonical_names", F.length("answer_verbatim").cast("long").alias("chars")]
     named = with_names(usable(rows)).select(*by, F.struct(*fields).alias("r"))
-    a = named.select(*by, F.col("r").alias("a"))
-    b = named.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("r").alias("b"))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
-    return a.join(b, same & (F.col("a") < F.col("b")) & ~F.col("a.engine").eqNullSafe(F.col("b.engine"))).select(*by, "a", "b")
+    # both sides are made alike, so that one exchange, and one extraction, serves both
+    a, b = (named.select(*[F.col(c).alias(f"__{x}_{c}") for c in by], F.col("r").alias(x)) for x in "ab")
+    same = reduce(and_, [F.col(f"__a_{c}").eqNullSafe(F.col(f"__b_{c}")) for c in by])
+    met = a.join(b, same & (F.col("a") < F.col("b")) & ~F.col("a.engine").eqNullSafe(F.col("b.engine")))
+    return met.select(*[F.col(f"__a_{c}").alias(c) for c in by], "a", "b")
 
 
 def scored(found: DataFrame) -> DataFrame:

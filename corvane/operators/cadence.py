@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from corvane.sources.schema import COLD, HOT, OK, WARM
 
+# Messages, reasons, and the number of changes that counts as large.
 LARGE_CHURN = 5
+CROSSED = "CROSSED TO NAMED: engine now names this business"
+LOST = "LOST THE NAMING: engine named this business before and does not now"
+SOURCES_DROPPED, SOURCES_NEW = "SOURCES DROPPED", "NEW SOURCES"
+RIVAL_NEW, RIVAL_GONE = "NEW COMPETITOR NAMED: ", "COMPETITOR DROPPED OUT: "
+FEW_ROWS = ("only ", " dated row(s); no baseline to compare against, so no buzz on ignorance")
+SILENT = "nothing moved; stay silent and save the spend"
+CROSSING = "the business crossed the naming line, which is the event the whole instrument exists to catch"
+RIVALS = "the competitive set in the answer changed"
+REBUILT = ("large source churn (", ") suggests the answer is being rebuilt")
+SMALL = ("small movement (", " source changes); normal cadence")
 
 
 def _items(c: Column) -> Column:
@@ -52,12 +63,12 @@ def signals() -> Column:
     some = lambda c: F.size(c) > 0
     counted = lambda text, c: F.when(some(c), F.concat(F.lit(text + " ("), F.size(c).cast("string"), F.lit("): "), _first_three(F.col(c))))
     return F.array_compact(F.array(
-        F.when(F.col("crossed"), "CROSSED TO NAMED: engine now names this business"),
-        F.when(F.col("lost"), "LOST THE NAMING: engine named this business before and does not now"),
-        counted("SOURCES DROPPED", "sources_dropped"),
-        counted("NEW SOURCES", "sources_new"),
-        F.when(some("competitors_new"), F.concat(F.lit("NEW COMPETITOR NAMED: "), _first_three(F.col("competitors_new")))),
-        F.when(some("competitors_gone"), F.concat(F.lit("COMPETITOR DROPPED OUT: "), _first_three(F.col("competitors_gone")))),
+        F.when(F.col("crossed"), CROSSED),
+        F.when(F.col("lost"), LOST),
+        counted(SOURCES_DROPPED, "sources_dropped"),
+        counted(SOURCES_NEW, "sources_new"),
+        F.when(some("competitors_new"), F.concat(F.lit(RIVAL_NEW), _first_three(F.col("competitors_new")))),
+        F.when(some("competitors_gone"), F.concat(F.lit(RIVAL_GONE), _first_three(F.col("competitors_gone")))),
     ))
 
 
@@ -86,17 +97,17 @@ def plan(rows: DataFrame, key: list[str] | None = None, order: list[str] | None
     crossing, moved = F.col("crossed") | F.col("lost"), F.col("crossed") | F.col("lost") | rivals | (churn > 0)
     new = F.col("n_rows") < 2
     case = lambda *x: F.when(new, x[0]).when(~moved, x[1]).when(crossing, x[2]).when(rivals, x[3]).when(churn >= LARGE_CHURN, x[4]).otherwise(x[5])
-    text = lambda a, n, b: F.concat(F.lit(a), n.cast("string"), F.lit(b))
+    text = lambda around, n: F.concat(F.lit(around[0]), n.cast("string"), F.lit(around[1]))
     return out.select(
         *key,
         case(*map(F.lit, (WARM, COLD, HOT, HOT, HOT, WARM))).alias("cadence"),
         case(
-            text("only ", F.col("n_rows"), " dated row(s); no baseline to compare against, so no buzz on ignorance"),
-            F.lit("nothing moved; stay silent and save the spend"),
-            F.lit("the business crossed the naming line, which is the event the whole instrument exists to catch"),
-            F.lit("the competitive set in the answer changed"),
-            text("large source churn (", churn, ") suggests the answer is being rebuilt"),
-            text("small movement (", churn, " source changes); normal cadence"),
+            text(FEW_ROWS, F.col("n_rows")),
+            F.lit(SILENT),
+            F.lit(CROSSING),
+            F.lit(RIVALS),
+            text(REBUILT, churn),
+            text(SMALL, churn),
         ).alias("reason"),
         F.when(new, F.array().cast("array<string>")).otherwise(signals()).alias("signals"),
         F.when(~new, F.array(F.col("prev")["date_utc"], F.col("curr")["date_utc"])).alias("compared"),

@@ -83,6 +83,9 @@ def test_agreement(spark):
     assert (p.terser_engine, p.containment_pct, p.shared_count, p.naming_disagreement) == ("gemini", 50.0, 1, True)
     q = got[2, 3]
     assert (q.terser_engine, q.containment_pct, q.terser_entity_count, q.zero_shared, q.extraction_suspect) == ("gemini", None, 0, False, False)
+    met = agreement.pairs(rows, ["business"], "ord")
+    met.collect()
+    assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()  # names are extracted once
     row = agreement.agreement_rows(rows, ["business"], "ord").first()
     assert row.engines_compared == ["gemini", "openai"] and row.engines_usable == 3 and len(row.pairs) == 2 and row.pairs[0].shared_count == 1
     alone = agreement.agreement_rows(rows.filter("ord = 1"), ["business"], "ord").first()
