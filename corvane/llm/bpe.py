@@ -30,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
+
 from .memo import Memo, groups, spell
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of each generation of pre-tokens that one worker remembers.
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 32 << 20
 #: Rows encoded before they are handed on.
 ROWS = 1000
 #: Bits of an id, and of a place in a pre-token, in the numbers below.
@@ -188,7 +190,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([some.column(0), _ids_array(rows), *more], names=[id_col, "ids", "decoded"][: 2 + decoded])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>" + ", decoded string" * decoded)
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id") -> DataFrame:
@@ -201,7 +203,7 @@ def decode(encoded: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([b.column(0), texts], names=[id_col, "decoded"])
 
     src = encoded.select(id_col, "ids")
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, decoded string")
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, decoded string")
 
 
 def query(spark, sf_dir):

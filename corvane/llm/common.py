@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import re
-import tempfile
-import uuid
+import ctypes
+import time
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.sources.shared import shared_dir, shared_path
+
+__all__ = ["LOWER", "UPPER", "ascii_lower", "give_back", "in_arrow", "materialise", "remove_path", "shared_dir", "shared_path", "shuffle_width", "small_batches", "table", "then_rest"]
+
+#: Rows that travel to a Python worker at a time.
+ARROW_ROWS = 1000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -22,32 +29,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where that setting is absent and Spark runs in one process (tests) a
-    folder is made; on a cluster its absence is an error, as executors would write
-    to folders that the driver can't see.
-    """
-    found = spark.sparkContext.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not found:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not found:
-        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corvane-shared-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
-def shared_path(spark: SparkSession, what: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{what}-{uuid.uuid4().hex}")
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Cuts lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
@@ -60,5 +41,54 @@ def remove_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+_given = [0.0]
+
+
+def give_back(least_seconds: float = 0.0) -> None:
+    """Hands memory that a process has freed back to the system: Python workers live on, beside other work. Not again within ``least_seconds``."""
+    if time.monotonic() - _given[0] < least_seconds:
+        return
+    _given[0] = time.monotonic()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def then_rest(work: Callable) -> Callable:
+    """A function of one or two grouped tables that gives memory back after groups, about once a second."""
+
+    def one(table):
+        out = work(table)
+        give_back(1.0)
+        return out
+
+    def two(left, right):
+        out = work(left, right)
+        give_back(1.0)
+        return out
+
+    return two if work.__code__.co_argcount == 2 else one
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets at most ``ARROW_ROWS`` rows of the session travel to Python at a time: they hold whole texts, of any length."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
+def in_arrow(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` in small batches, by workers that give memory back at the end of each task."""
+
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    small_batches(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import in_arrow, materialise
 from .graph import connected_components
 
 THRESHOLD = 0.9
@@ -139,7 +139,7 @@ def project(distinct: DataFrame, blocks: int, tops: int, lows: dict[int, float])
                     key = (np.int64(dim) << 40) + d.astype(np.int64) * 2 + (z < 0)
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.abs(z)), pa.array(ids[some][k]), pa.array(asks)], names=["direction", "z", "id", "asks"])
 
-    return distinct.select("id", "v").mapInArrow(run, "direction long, z float, id long, asks boolean")
+    return in_arrow(distinct.select("id", "v"), run, "direction long, z float, id long, asks boolean")
 
 
 def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int | None = None, tops: int = TOPS, window: float = WINDOW, recall: float = RECALL) -> DataFrame:

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_file
-from .common import materialise
+from .common import in_arrow, materialise
 from .memo import Memo, groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
 #: Bytes of each generation of words that one worker remembers.
-MEMORY_BYTES = 96 << 20
+MEMORY_BYTES = 32 << 20
 #: Counts (part, length) of at most this many rows, of 24 bytes each, are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -126,10 +126,10 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
                     done += k
             arrays = [b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total, pa.int64()), pa.array([part] * len(at), pa.int64()), pa.array(nth, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "start", "length", "ids", "doc_tokens", "part", "nth"])
-        t.memo.forget()  # the worker lives on, for other work too
+        t.memo.forget()
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long")
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long")
 
 
 def number(pieces: DataFrame) -> DataFrame:

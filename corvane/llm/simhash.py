@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import in_arrow, materialise
 from .graph import connected_components
 
 SHINGLE = 3
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names=[id_col, "fp", *names])
 
     src = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"), *[k.alias(n) for k, n in zip(keys, names, strict=True)])
-    return src.mapInArrow(run, f"`{id_col}` long, fp long" + "".join(f", {n} long" for n in names))
+    return in_arrow(src, run, f"`{id_col}` long, fp long" + "".join(f", {n} long" for n in names))
 
 
 def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:

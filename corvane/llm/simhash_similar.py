@@ -7,8 +7,8 @@ fingerprint of some hundred bits is cut into many short segments, of which some
 differ by at most one bit with the probability that is wanted. Of each segment
 variants are indexed with one of its ``WILD`` weakest bits wildcarded, the bits
 whose counts are closest to half, as these are the likeliest to differ. Texts
-that share a variant are joined by equality, compared by all their bits, and
-verified on their whole sets, so no link is wrong.
+that share a variant are joined by equality, compared by all of ``COMPARED``
+bits, and verified on their whole sets, so no link is wrong.
 
 Segments are as long as lets a variant of unrelated texts meet seldom
 (``2 ** length`` is over four times the number of rows), and as many as find
@@ -16,9 +16,10 @@ Segments are as long as lets a variant of unrelated texts meet seldom
 more surely (README: recall on real texts).
 
 A variant's texts are first compared with the smallest of them. Only where that
-leaves several components, texts of different components are compared too, and
-of these only those whose distances to the smallest one allow a link. So a large
-group of near copies isn't expanded into pairs. Equal sets are one.
+leaves several components, texts of different components are compared too; of
+these the join emits only pairs that differ in few enough bits, whose distances
+to the smallest one allow that. So a large group of near copies isn't expanded
+into pairs. Equal sets are one.
 
 Defined results: texts without words have equal sets; rows that repeat an id and
 its text are one; a null id never is a group's smallest while another is there;
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, remove_path, shared_path
+from .common import in_arrow, materialise, remove_path, shared_path
 from .graph import connected_components
 from .simhash import keep_least, row_keys
 
@@ -45,8 +46,10 @@ SIMILARITY = 0.8
 RECALL = 0.95
 #: Bits of a segment that may be the wildcard.
 WILD = 6
-#: Part of the bits that may differ in a pair that is verified: simulated pairs at the threshold differ in 15 %, unrelated texts in half.
-DIFFERENT = 0.25
+#: Bits that are compared before sets are, at least.
+COMPARED = 2048
+#: Pairs are verified if no more bits differ than are expected at the threshold, and so many standard deviations.
+DEVIATIONS = 2.5
 SEED = 42
 #: Bits of the table that tells which rows a verification may need.
 BITMAP = 1 << 24
@@ -101,22 +104,33 @@ def bit_counts(hashes: np.ndarray, bits: int) -> np.ndarray:
     return total[:bits]
 
 
-def signature(hashes: np.ndarray, length: int, segments: int, wild: int = WILD) -> tuple[bytes, bytes]:
-    """(the bits, eight in a byte; the ``wild`` weakest places of each segment, a byte each)."""
-    n, count = len(hashes), bit_counts(hashes, length * segments)
-    weak = np.argsort(np.abs(2 * count - n).reshape(segments, length), axis=1, kind="stable")[:, :wild]
-    bits = np.zeros(-(-length * segments // 64) * 64, bool)
-    bits[: length * segments] = 2 * count > n
-    return np.packbits(bits).tobytes(), weak.astype(np.uint8).tobytes()
+def words_for(length: int, segments: int) -> int:
+    """64-bit words of a fingerprint, whose first bits make the segments."""
+    return -(-max(length * segments, COMPARED) // 64)
 
 
-def _hashed(docs: DataFrame, id_col: str, text_col: str, shingle: int, extra: Callable[[np.ndarray], tuple[bytes, ...]], names: tuple[str, ...], only: np.ndarray | None = None) -> DataFrame:
-    """id, key (of the set), n, the binary columns that ``extra`` makes of the hashes, k0 and k1; with ``only``, a bitmap, of rows whose k0 is in it.
+def most_different(bits: int, similarity: float = SIMILARITY) -> int:
+    """Differing bits of a pair that is verified."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * share + DEVIATIONS * (bits * share * (1 - share)) ** 0.5)
+
+
+def signature(hashes: np.ndarray, length: int, segments: int, wild: int = WILD) -> tuple[np.ndarray, bytes]:
+    """(the bits, in words; the ``wild`` weakest places of each segment, a byte each)."""
+    n, count = len(hashes), bit_counts(hashes, 64 * words_for(length, segments))
+    weak = np.argsort(np.abs(2 * count[: length * segments] - n).reshape(segments, length), axis=1, kind="stable")[:, :wild]
+    return np.packbits(2 * count > n).view("<i8"), weak.astype(np.uint8).tobytes()
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str, shingle: int, extra: Callable[[np.ndarray], tuple], columns: dict[str, str], only: np.ndarray | None = None) -> DataFrame:
+    """id, key (of the set), n, the ``columns`` (name and type) that ``extra`` makes of the hashes, k0 and k1; with ``only``, a bitmap, of rows whose k0 is in it.
 
     Hashes take as much room as texts; they are made anew where needed instead of being stored.
     """
     import xxhash
 
+    kinds = [pa.binary() if t == "binary" else pa.list_(pa.int64()) for t in columns.values()]
+
     def run(batches):
         for b in batches:
             if only is not None:
@@ -126,12 +140,12 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, shingle: int, extra: Ca
                 some = b.slice(i, _ROWS)
                 sets = [shingles(t.as_py(), shingle) for t in some.column(1)]
                 key = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], np.uint64).view(np.int64)
-                more = [pa.array(c, pa.binary()) for c in zip(*map(extra, sets), strict=True)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(key), pa.array([len(h) for h in sets], pa.int64()), *more, *some.columns[2:]], names=["id", "key", "n", *names, "k0", "k1"])
+                more = [pa.array(c, t) for c, t in zip(zip(*map(extra, sets), strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(key), pa.array([len(h) for h in sets], pa.int64()), *more, *some.columns[2:]], names=["id", "key", "n", *columns, "k0", "k1"])
 
     k0, k1 = row_keys(id_col, text_col)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), k0.alias("k0"), k1.alias("k1"))
-    return src.mapInArrow(run, "id long, key long, n long, " + "".join(f"{n} binary, " for n in names) + "k0 long, k1 long")
+    return in_arrow(src, run, "id long, key long, n long, " + "".join(f"{n} {t}, " for n, t in columns.items()) + "k0 long, k1 long")
 
 
 def variants(distinct: DataFrame, length: int, segments: int, wild: int = WILD) -> DataFrame:
@@ -143,7 +157,7 @@ def variants(distinct: DataFrame, length: int, segments: int, wild: int = WILD)
             for i in range(0, b.num_rows, _ROWS):
                 some = b.slice(i, _ROWS)
                 rows = some.num_rows
-                bits = np.unpackbits(np.frombuffer(b"".join(some.column(2).to_pylist()), np.uint8).reshape(rows, -1), axis=1)[:, : length * segments]
+                bits = np.unpackbits(some.column(2).flatten().to_numpy().reshape(rows, -1).view(np.uint8), axis=1)[:, : length * segments]
                 value = bits.reshape(rows, segments, length) @ weights
                 weak = np.frombuffer(b"".join(some.column(3).to_pylist()), np.uint8).reshape(rows, segments, -1).astype(np.int64)
                 place = np.arange(segments)[None, :, None] * 32 + weak
@@ -151,29 +165,22 @@ def variants(distinct: DataFrame, length: int, segments: int, wild: int = WILD)
                 at = pa.array(np.repeat(np.arange(rows), h[0].size))
                 yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), some.column(0).take(at), some.column(1).take(at)], names=["h", "key", "n"])
 
-    return distinct.select("key", "n", "fp", "weak").mapInArrow(run, "h long, key long, n long")
+    return in_arrow(distinct.select("key", "n", "fp", "weak"), run, "h long, key long, n long")
+
+
+def _distance(a: Column, b: Column, words: int) -> Column:
+    return sum(F.bit_count(F.get(a, F.lit(w)).bitwiseXOR(F.get(b, F.lit(w)))) for w in range(words))
 
 
 def _with_distance(pairs: DataFrame, distinct: DataFrame, words: int) -> DataFrame:
     """``pairs`` (a, b) with ``d``, the number of bits in which their fingerprints differ."""
-    fp = lambda x: [F.conv(F.hex(F.substring("fp", 8 * w + 1, 8)), 16, -10).cast("long").alias(f"{x}{w}") for w in range(words)]
-    a, b = (distinct.select(F.col("key").alias(f"key_{x}"), *fp(x)) for x in "ab")
+    a, b = (distinct.select(F.col("key").alias(f"key_{x}"), F.col("fp").alias(f"fp_{x}")) for x in "ab")
     both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, F.col("b") == F.col("key_b"))
-    return both.select(*pairs.columns, sum(F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in range(words)).alias("d"))
+    return both.select(*pairs.columns, _distance(F.col("fp_a"), F.col("fp_b"), words).alias("d"))
 
 
 def _verified(hashed: Callable, one: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets are similar; written to the shared folder. ``one``: key and k0 of a row of each set."""
-
-    def run(batches):
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_py(), "<i8") for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     needed = materialise(one.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"))
     at = F.col("k0").bitwiseAND(BITMAP - 1)
     bits = needed.select(F.shiftright(at, 15).alias("block"), at.bitwiseAND(32767).alias("bit")).groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
@@ -182,45 +189,49 @@ def _verified(hashed: Callable, one: DataFrame, pairs: DataFrame, similarity: fl
         only[r["block"] * 4096 : (r["block"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
     held = hashed(only).select("key", "k0", "hashes").join(needed, ["key", "k0"], "left_semi").dropDuplicates(["key"])
     a, b = (held.select(F.col("key").alias(f"key_{x}"), F.col("hashes").alias(f"hashes_{x}")) for x in "ab")
-    both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, F.col("b") == F.col("key_b")).select("a", "b", "hashes_a", "hashes_b")
-    return materialise(both.mapInArrow(run, "a long, b long"))
+    both = pairs.join(a, F.col("a") == F.col("key_a")).join(b, F.col("b") == F.col("key_b"))
+    shared, n = F.size(F.array_intersect("hashes_a", "hashes_b")), F.size("hashes_a") + F.size("hashes_b")
+    return materialise(both.filter(shared >= similarity * (n - shared) - 1e-9).select("a", "b"))
 
 
 def links(hashed: Callable, distinct: DataFrame, length: int, segments: int, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) keys of similar sets, enough of them to connect all that were found similar. ``distinct``: key, n, fp, weak and k0 of each set; ``hashed`` makes the hashes."""
-    words, most = -(-length * segments // 64), int(DIFFERENT * length * segments)
+    words = words_for(length, segments)
+    most = most_different(64 * words, similarity)
     alike = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) - 1e-9
     rows = variants(distinct, length, segments).repartition(F.col("h"))
     groups = rows.groupBy("h").agg(F.min(F.struct("key", "n")).alias("first"), F.max("key").alias("last")).filter("first.key < last")
     shared = rows.join(groups.select("h", "first"), "h").filter(F.col("key") != F.col("first.key"))
     shared = materialise(shared.select("h", "key", "n", F.col("first.key").alias("lead"), F.col("first.n").alias("lead_n")))
-    stars = shared.groupBy(F.col("lead").alias("a"), F.col("key").alias("b")).agg(F.first("lead_n").alias("n_a"), F.first("n").alias("n_b"))
+    stars = shared.filter(alike(F.col("n"), F.col("lead_n"))).select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
     stars = materialise(_with_distance(stars, distinct, words))
-    close = lambda found: materialise(found.filter(F.col("d") <= most).select("a", "b"))
     one = distinct.select("key", "k0")
-    found = _verified(hashed, one, close(stars.filter(alike(F.col("n_a"), F.col("n_b")))), similarity)
+    found = _verified(hashed, one, materialise(stars.filter(F.col("d") <= most).select("a", "b")), similarity)
     comp = connected_components(found)
     placed = shared.join(comp, F.col("key") == F.col("node"), "left").select("h", "key", "n", "lead", F.coalesce("component", "key").alias("c"))
     mixed = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
     rest = placed.join(mixed, "h", "left_semi")  # pairs with the lead are settled
-    rest = materialise(rest.join(stars.select(F.col("a").alias("lead"), F.col("b").alias("key"), "d"), ["lead", "key"]).select("h", "key", "n", "c", "d"))
-    a, b = (rest.select(F.col("h").alias(f"h_{x}"), F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}"), F.col("d").alias(f"d_{x}")) for x in "ab")
-    may: Column = alike(F.col("n_a"), F.col("n_b")) & (F.abs(F.col("d_a") - F.col("d_b")) <= most)
-    across = a.join(b, (F.col("h_a") == F.col("h_b")) & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & may).select("a", "b").distinct()
-    return found.unionByName(_verified(hashed, one, close(_with_distance(across, distinct, words)), similarity))
+    rest = rest.join(stars.select(F.col("a").alias("lead"), F.col("b").alias("key"), "d"), ["lead", "key"], "left").join(distinct.select("key", "fp"), "key")
+    rest = materialise(rest.select("h", "key", "n", "c", "d", "fp"))
+    a, b = (rest.select(*[F.col(c).alias(f"{c}_{x}") for c in rest.columns]) for x in "ab")
+    col = F.col
+    may: Column = alike(col("n_a"), col("n_b")) & F.coalesce(F.abs(col("d_a") - col("d_b")) <= most, F.lit(True)) & (_distance(col("fp_a"), col("fp_b"), words) <= most)
+    across = a.join(b, (col("h_a") == col("h_b")) & (col("key_a") < col("key_b")) & (col("c_a") != col("c_b")) & may)
+    across = materialise(across.select(col("key_a").alias("a"), col("key_b").alias("b")).distinct())
+    return found.unionByName(_verified(hashed, one, across, similarity))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component, each once; those without an id stay unless they link to one with."""
     spark = docs.sparkSession
     length, segments = segments_for(docs.count(), similarity, recall)
-    made = _hashed(docs, id_col, text_col, shingle, lambda h: signature(h, length, segments), ("fp", "weak"))
+    made = _hashed(docs, id_col, text_col, shingle, lambda h: signature(h, length, segments), {"fp": "array<bigint>", "weak": "binary"})
     made.write.parquet(path := shared_path(spark, "sets"))
     sets = spark.read.parquet(path)
     least = F.min(F.struct(F.col("id").isNull(), "id", "k0")).alias("least")
     distinct = sets.groupBy("key").agg(least, F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("weak").alias("weak"))
     distinct = materialise(distinct.select("key", "n", "fp", "weak", F.col("least.id").alias("rep"), F.col("least.k0").alias("k0")))
-    hashed = lambda only: _hashed(docs, id_col, text_col, shingle, lambda h: (h.tobytes(),), ("hashes",), only)
+    hashed = lambda only: _hashed(docs, id_col, text_col, shingle, lambda h: (h,), {"hashes": "array<bigint>"}, only)
     comp = connected_components(links(hashed, distinct, length, segments, similarity))
     placed = distinct.join(comp, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("c"))
     found = placed.join(placed.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("key", "component_id")

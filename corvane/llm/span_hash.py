@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_then_rest, shuffle_width
+from .common import in_arrow, shuffle_width
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003_579, 754_974_721)
@@ -254,7 +254,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, _ROWS), pa.array([len(t) for t in texts], pa.int64()), pa.array(made, pa.string())], names=[id_col, "n_chars", "fingerprint"])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(batches_then_rest(run), f"`{id_col}` {src.dtypes[0][1]}, n_chars long, fingerprint string")
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, n_chars long, fingerprint string")
 
 
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,7 +334,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield _compared(pairs)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_order(docs, id_col, text_col).mapInArrow(batches_then_rest(run), schema)
+    return in_arrow(in_order(docs, id_col, text_col), run, schema)
 
 
 def query(spark, sf_dir):

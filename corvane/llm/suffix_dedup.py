@@ -46,13 +46,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .collection_bwt import classes
-from .common import materialise
+from .common import materialise, small_batches, then_rest
 
 LENGTH = 50
 KEY_BYTES = 20
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
-COLLECTION_BYTES = 1 << 16
+COLLECTION_BYTES = 1 << 18
 #: Distinct pieces of one key that are solved together.
 DIVIDE_BYTES = 1 << 20
 #: Groups in which a key occurs before it is divided and merged on the way.
@@ -65,14 +65,16 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 def _hashes(data: np.ndarray, size: int, seed: int) -> np.ndarray:
     """64-bit hash of the ``size`` bytes (8 at least) at each position."""
     n = len(data) - size + 1
-    h = np.full(n, _MIX[seed], np.uint64)
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,)).copy()  # the bytes from each position on
+    h, part = np.full(n, _MIX[seed], np.uint64), np.empty(n, np.uint64)
     for i, at in enumerate(sorted({*range(0, size - 7, 8), size - 8})):
-        h ^= np.ndarray((n,), "<u8", data, at, (1,)) * _MIX[(i + seed) % 4]
-        h = (h << np.uint64(31)) | (h >> np.uint64(33))
-    h *= _MIX[1]
-    h ^= h >> np.uint64(29)
-    h *= _MIX[0]
-    h ^= h >> np.uint64(32)
+        h ^= np.multiply(eight[at : at + n], _MIX[(i + seed) % 4], out=part)
+        np.right_shift(h, np.uint64(33), out=part)
+        h <<= np.uint64(31)
+        h |= part
+    for shift, mix in ((29, _MIX[1]), (32, _MIX[0])):
+        h *= mix
+        h ^= np.right_shift(h, np.uint64(shift), out=part)
     return h
 
 
@@ -250,6 +252,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """id, the columns of ``keep``, n_bytes, n_removed, n_spans and ``kept`` of each row: the bytes that stay, or with ``as_text`` their whole characters."""
     if length < KEY_BYTES or 2 * length - 2 > 254:
         raise ValueError("length must be from 20 to 128")
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string").cast("binary")
     src = docs.select(F.col(id_col).cast("long").alias("__id"), text.alias("__text"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     total = src.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
@@ -399,20 +402,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         cols = [t.column(c).take(pa.array(group.rows)).combine_chunks() for c in t.column_names if c not in ("g", "__text")]
         return pa.Table.from_arrays([*cols, pa.array(group.sizes), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), kept], names=[*(c for c in t.column_names if c not in ("g", "__text")), "n_bytes", "n_removed", "n_spans", "kept"])
 
-    keys = texts.groupBy("g").applyInArrow(send_keys, "g long, bucket long, keys binary")
-    lists = keys.groupBy("bucket").applyInArrow(repeated_keys, "g long, keys binary")
+    keys = texts.groupBy("g").applyInArrow(then_rest(send_keys), "g long, bucket long, keys binary")
+    lists = keys.groupBy("bucket").applyInArrow(then_rest(repeated_keys), "g long, keys binary")
     sent, told = "g long, bucket long, pieces binary, sizes binary, piece_keys binary, ids binary", "g long, bucket long, runs binary, lens binary, ids binary"
     answered = texts.groupBy("g").cogroup(lists.groupBy("g"))
-    pieces = answered.applyInArrow(send_pieces(hot=False), sent)
+    pieces = answered.applyInArrow(then_rest(send_pieces(hot=False)), sent)
     if n_groups <= hot_groups:  # no key can be in more
-        solved = pieces.groupBy("bucket").applyInArrow(solve, told)
+        solved = pieces.groupBy("bucket").applyInArrow(then_rest(solve), told)
     else:
         few = max(2, math.isqrt(n_groups))
-        hot = answered.applyInArrow(send_pieces(hot=True), sent).withColumn("part", F.floor(F.col("g") / few))
-        every = pieces.unionByName(hot.groupBy("part", "bucket").applyInArrow(merge, sent))
-        solved = materialise(every.groupBy("bucket").applyInArrow(solve, told))
+        hot = answered.applyInArrow(then_rest(send_pieces(hot=True)), sent).withColumn("part", F.floor(F.col("g") / few))
+        every = pieces.unionByName(hot.groupBy("part", "bucket").applyInArrow(then_rest(merge), sent))
+        solved = materialise(every.groupBy("bucket").applyInArrow(then_rest(solve), told))
         back = solved.filter("g < 0").withColumn("part", -1 - F.col("g"))
-        solved = solved.filter("g >= 0").unionByName(hot.groupBy("part", "bucket").cogroup(back.groupBy("part", "bucket")).applyInArrow(spread, told))
+        solved = solved.filter("g >= 0").unionByName(hot.groupBy("part", "bucket").cogroup(back.groupBy("part", "bucket")).applyInArrow(then_rest(spread), told))
     both = lists.unionByName(solved, allowMissingColumns=True)
     carried = [(n, k) for n, k in dealt.dtypes if n not in ("g", "__text")]
     schema = ", ".join(f"`{n}` {k}" for n, k in carried) + ", n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary")
@@ -420,7 +423,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     from pyspark.sql.types import _parse_datatype_string
 
     out_schema = to_arrow_schema(_parse_datatype_string(schema))
-    out = dealt.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(finish, schema)
+    out = dealt.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(then_rest(finish), schema)
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_removed", "n_spans", "kept")
 
 

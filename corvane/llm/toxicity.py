@@ -8,8 +8,7 @@ than the two apart.
 
 The machine is fitted on the driver to a bounded sample of labelled rows: those
 with the smallest hash, up to ``most_rows`` rows and ``most_bytes`` of text
-(of a row only its distinct buckets are sent, at most 2 bytes for each byte of
-text); texts of over ``longest`` bytes teach nothing and are scored like any.
+(of a row only its distinct buckets are sent, compressed); texts of over ``longest`` bytes teach nothing and are scored like any.
 Parameters are given to buckets that differ between the classes by themselves,
 and to those of pairs of frequent buckets that differ more together than either
 does alone. Scoring is a narrow step over every whole text. Labels, languages,
@@ -33,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back, in_arrow
+
 BUCKETS = 1 << 20
 THRESHOLD = 0.3
 #: Bounds of the sample: rows, bytes of text together, and bytes of one text.
@@ -68,6 +69,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _pack(t: np.ndarray) -> bytes:
+    """Ascending numbers as their count and the compressed byte planes of their differences."""
+    planes = np.diff(t, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return len(t).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(planes).ravel(), "zstd", asbytes=True)
+
+
+def _open(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:4], "little")
+    planes = np.frombuffer(pa.decompress(packed[4:], 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int32)
+
+
 def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES, longest: int = LONGEST) -> tuple[list[np.ndarray], np.ndarray]:
     """Terms and labels of a bounded number of distinct rows that aren't held out."""
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -82,12 +95,12 @@ def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_
     def run(batches):
         seen = set()
         for b in batches:
-            some = [(k, y, terms(x).tobytes()) for k, y, x in zip(*(c.to_pylist() for c in b.columns), strict=True) if not (k in seen or seen.add(k))]
+            some = [(k, y, _pack(terms(x))) for k, y, x in zip(*(c.to_pylist() for c in b.columns), strict=True) if not (k in seen or seen.add(k))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in some], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["key", "toxic", "terms"])
 
     chosen = rows.filter(F.col("key") <= sizes[n - 1]["key"]).select("key", "toxic", "text")
-    found = sorted(map(tuple, chosen.mapInArrow(run, "key long, toxic int, terms binary").dropDuplicates(["key"]).collect()))
-    return [np.frombuffer(t, np.int32) for _, _, t in found], np.array([float(y > 0) for _, y, _ in found])
+    found = sorted(map(tuple, in_arrow(chosen, run, "key long, toxic int, terms binary").dropDuplicates(["key"]).collect()))
+    return [_open(t) for _, _, t in found], np.array([float(y > 0) for _, y, _ in found])
 
 
 class Machine:
@@ -186,7 +199,9 @@ def fit(found: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs:
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Machine:
-    return fit(*sample(docs, labels, most_rows))
+    machine = fit(*sample(docs, labels, most_rows))
+    give_back()
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:
@@ -194,7 +209,7 @@ def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> D
     position = {int(b): i for i, b in enumerate(machine.features)}
 
     def run(batches):
-        @lru_cache(maxsize=200_000)
+        @lru_cache(maxsize=100_000)
         def of_word(w: bytes) -> tuple[int, ...]:
             return tuple(position[b] for b in buckets_of(w) if b in position)
 
@@ -209,7 +224,7 @@ def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> D
     src = src.withColumn("text", F.col("text").cast("string"))
     at = src.columns.index("text")
     schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[: len(kept)]) + ", score double"
-    return src.mapInArrow(run, schema)
+    return in_arrow(src, run, schema)
 
 
 def query(spark, sf_dir):

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_path
+from .common import in_arrow, materialise, shared_path
 
 VERSION = b"WARC/1.1"
 #: An archive is closed once it holds this many bytes.
@@ -241,7 +241,7 @@ def write(pages: DataFrame, folder: str, **columns) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_pydict(dict(zip(("path", "records", "bytes"), map(list, zip(*done, strict=True)), strict=True)), schema=pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return materialise(plan(pages, **columns).mapInArrow(run, "path string, records long, bytes long"))
+    return materialise(in_arrow(plan(pages, **columns), run, "path string, records long, bytes long"))
 
 
 _READ = "path string, at long, kind string, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, gap_end long, reason string"
@@ -273,7 +273,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema=schema)
 
     paths = manifest.select("path")
-    return paths.repartition(max(1, min(paths.count(), 10_000))).mapInArrow(run, _READ)
+    return in_arrow(paths.repartition(max(1, min(paths.count(), 10_000))), run, _READ)
 
 
 def query(spark, sf_dir):

@@ -82,6 +82,42 @@ def test_connected_components(spark, seed):
     assert len(got) == len(comp) and {r.node: r.component for r in got} == comp
 
 
+def test_components_of_odd_edges(spark):
+    """Nulls are left out; loops, repeated and reversed edges, and no edges at all."""
+    edges = spark.createDataFrame([(None, 1), (1, None), (None, None), (5, 5), (7, 6), (6, 7), (6, 7)], "a long, b long")
+    assert {r.node: r.component for r in graph.connected_components(edges).collect()} == {5: 5, 6: 6, 7: 6}
+    assert graph.connected_components(edges.limit(0)).count() == 0
+
+
+def test_edges_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    edges = spark.range(20).selectExpr("id as a", "id + 1 as b").mapInArrow(count, "a long, b long")
+    assert {r.component for r in graph.connected_components(edges).collect()} == {0} and seen.value == 20
+
+
+def test_shared_folder(spark, monkeypatch):
+    import tempfile
+    from types import SimpleNamespace
+
+    import pytest
+
+    from corvane.sources import shared
+
+    made = []
+    session = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append))
+    monkeypatch.setattr(tempfile, "mkdtemp", lambda prefix: f"/tmp/{prefix}x")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(RuntimeError):
+            shared.shared_dir(session(master))
+    assert not made and shared.shared_dir(session("local[4]")) == made[0]
+
+
 def test_prefix_hash():
     rnd = random.Random(3)
     t = "".join(rnd.choice("abé😀") for _ in range(300)) * 2
