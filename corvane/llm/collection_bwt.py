@@ -16,10 +16,10 @@ END = 0
 
 
 def _least(lcp: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Smallest value of each ``lcp[first:last]``, none of them empty."""
+    """Smallest value of each ``lcp[first:last]``, none of them empty. From last to first, as what lies between rising spans would be read too."""
     pairs = np.empty(2 * len(first), np.int64)
-    pairs[::2], pairs[1::2] = first, last
-    return np.minimum.reduceat(lcp, pairs)[::2]
+    pairs[::2], pairs[1::2] = first[::-1], last[::-1]
+    return np.minimum.reduceat(lcp, pairs)[::2][::-1]
 
 
 def build(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -28,43 +28,50 @@ def build(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     The transform has a byte plus 1 for each symbol and ``END`` in front of whole
     strings. It starts with the empty suffixes, in the strings' order.
     """
-    m, n = len(starts), len(starts)
-    bwt, lcp = np.zeros(m, np.uint8), np.zeros(m, np.uint8)
-    count = np.arange(m + int(sizes.sum()), dtype=np.int32)
-    at, left, ends = np.arange(m), sizes.copy(), starts + sizes  # of the strings that go on, in the order of their longest suffixes
+    m, n, total = len(starts), len(starts), len(starts) + int(sizes.sum())
+    kind, bits = (np.int32 if total < 1 << 22 else np.int64), total.bit_length()
+    place = kind((1 << bits) - 1)
+    both = np.zeros(m, np.uint16)  # a common prefix in the upper byte, a symbol of the transform in the lower one
+    sorted_ = np.empty(0, kind)  # (symbol, place) of each symbol of the transform, as one number, in order: their ranks
+    at, left, ends = np.arange(m, dtype=kind), sizes.copy(), starts + sizes  # of the strings that go on, in the order of their longest suffixes
     for j in range(1, int(sizes.max(initial=0)) + 1):
         if (left < j).any():
             on = left >= j
             at, left, ends = at[on], left[on], ends[on]
         symbol = data[ends - j] + np.uint8(1)
-        bwt[at] = symbol
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, np.int32)
-        rank[order] = count[:n]
-        r = rank[at]
-        new = r + len(at)  # empty suffixes come first; m - len(at) strings have ended
-        padded = np.append(lcp, np.uint8(0))
-        before = order[r - 1]
-        k = np.flatnonzero((r > 0) & (bwt[before] == symbol))
+        both[at] |= symbol
+        lcp = np.empty(n + 1, np.uint8)
+        np.right_shift(both, 8, out=lcp[:n], casting="unsafe")
+        lcp[n] = 0
+        turn = np.argsort(symbol, kind="stable")
+        at, symbol, left, ends = at[turn], symbol[turn], left[turn], ends[turn]
+        key = symbol.astype(kind) << kind(bits) | at
+        rank = np.searchsorted(sorted_, key) + np.arange(len(at))
+        sorted_ = _with(sorted_, rank, key)
+        before = sorted_[rank - 1]
+        k = np.flatnonzero((rank > 0) & (before >> kind(bits) == symbol))
         ahead = np.zeros(len(at), np.uint8)
         if len(k):
-            ahead[k] = _least(padded, before[k] + 1, at[k] + 1) + np.uint8(1)
-        after = order[np.minimum(r + 1, n - 1)]
-        k = np.flatnonzero((r + 1 < n) & (bwt[after] == symbol))
-        behind = _least(padded, at[k] + 1, after[k] + 1) + np.uint8(1) if len(k) else np.empty(0, np.uint8)
-        n += len(at)
-        old = np.ones(n, bool)
-        old[new] = False
-        merged = np.zeros(n, np.uint8)
-        merged[old] = bwt
-        bwt, merged = merged, np.empty(n, np.uint8)
-        merged[old] = lcp
-        merged[new] = ahead
-        merged[new[k] + 1] = behind
-        lcp = merged
-        turn = np.argsort(symbol, kind="stable")
-        at, left, ends = new[turn], left[turn], ends[turn]
-    return bwt, lcp
+            ahead[k] = _least(lcp, (before[k] & place) + 1, at[k] + 1) + np.uint8(1)
+        after = sorted_[np.minimum(rank + 1, len(sorted_) - 1)]
+        k = np.flatnonzero((rank + 1 < len(sorted_)) & (after >> kind(bits) == symbol))
+        behind = _least(lcp, at[k] + 1, (after[k] & place) + 1) + np.uint8(1) if len(k) else np.empty(0, np.uint8)
+        new = rank + m  # empty suffixes come first
+        shift = np.repeat(np.arange(len(new) + 1, dtype=kind), np.diff(new - np.arange(len(new)), prepend=0, append=n))
+        sorted_ += shift.take(sorted_ & place, mode="clip")  # places move by the suffixes that are inserted before them
+        both = _with(both, new, ahead.astype(np.uint16) << 8)
+        both[new[k] + 1] = both[new[k] + 1] & 255 | behind.astype(np.uint16) << 8
+        at, n = new.astype(kind), n + len(new)
+    return both.astype(np.uint8), (both >> 8).astype(np.uint8)
+
+
+def _with(column: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The column with values inserted, which stand ``at`` these places then."""
+    out, old = np.empty(len(column) + len(at), column.dtype), np.ones(len(column) + len(at), bool)
+    old[at] = False
+    out[old] = column
+    out[at] = values
+    return out
 
 
 def classes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
