@@ -15,7 +15,7 @@ from corvane.sources.shared import shared_dir, shared_path
 __all__ = ["LOWER", "UPPER", "ascii_lower", "give_back", "in_arrow", "materialise", "remove_path", "shared_dir", "shared_path", "shuffle_width", "small_batches", "table", "then_rest"]
 
 #: Rows that travel to a Python worker at a time.
-ARROW_ROWS = 1000
+ARROW_ROWS = 4000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -72,11 +72,11 @@ def then_rest(work: Callable) -> Callable:
     return two if work.__code__.co_argcount == 2 else one
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lets at most ``ARROW_ROWS`` rows of the session travel to Python at a time: they hold whole texts, of any length."""
+def small_batches(spark: SparkSession, most: int = ARROW_ROWS) -> None:
+    """Lets at most so many rows of the session travel to Python at a time: they hold whole texts, of any length."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    if not 0 < int(spark.conf.get(key)) <= most:
+        spark.conf.set(key, str(most))
 
 
 def in_arrow(rows: DataFrame, work: Callable, schema: str) -> DataFrame:

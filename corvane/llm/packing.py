@@ -34,7 +34,7 @@ TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
 #: Bytes of each generation of words that one worker remembers.
-MEMORY_BYTES = 32 << 20
+MEMORY_BYTES = 64 << 20
 #: Counts (part, length) of at most this many rows, of 24 bytes each, are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -63,7 +63,7 @@ class WordIds:
     capitals don't. With any other tokenizer each text is encoded whole.
     """
 
-    def __init__(self, name_or_path: str):
+    def __init__(self, name_or_path: str, memory: int | None = None):
         from tokenizers import Tokenizer
 
         path = tokenizer_file(name_or_path)
@@ -72,7 +72,7 @@ class WordIds:
         self.t = Tokenizer.from_file(path)
         self.t.no_padding()
         self.t.no_truncation()
-        self.memo = Memo(self._words, MEMORY_BYTES)
+        self.memo = Memo(self._words, memory or MEMORY_BYTES)
 
     def _words(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
@@ -94,11 +94,11 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(name_or_path: str) -> WordIds:
+def word_ids(name_or_path: str, memory: int | None = None) -> WordIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordIds(name_or_path)
+    return WordIds(name_or_path, memory)
 
 
 def piece_lengths(n: int, sequence: int = SEQUENCE) -> list[int]:
@@ -107,12 +107,12 @@ def piece_lengths(n: int, sequence: int = SEQUENCE) -> list[int]:
     return [sequence] * (n // sequence) + [1 << i for i in reversed(range(rest.bit_length())) if rest >> i & 1]
 
 
-def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces: id, start, length, ``ids`` (little-endian unsigned 32-bit), doc_tokens. A narrow step."""
+def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", memory: int | None = None) -> DataFrame:
+    """Pieces: id, start, length, ``ids`` (little-endian unsigned 32-bit), doc_tokens. A narrow step, whose workers remember ``memory`` bytes of words in each generation."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        t, part = word_ids(tokenizer), TaskContext.get().partitionId()
+        t, part = word_ids(tokenizer, memory), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for b in batches:
             at, start, length, ids, total, nth = [], [], [], [], [], []

@@ -124,6 +124,13 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logit(rows, cols, len(present)), -30, 30)))
 
 
+def _places(found: list[np.ndarray], features: np.ndarray) -> list[np.ndarray]:
+    """Of each row the positions, in sorted ``features``, of those that it holds."""
+    place = np.full(BUCKETS, -1, np.int32)
+    place[features] = np.arange(len(features))
+    return [p[p >= 0] for p in (place[t] for t in found)]
+
+
 def _difference(pos: np.ndarray, neg: np.ndarray, n1: float, n0: float) -> np.ndarray:
     """Standard errors by which shares of the classes differ; 0 for what fewer than three rows hold."""
     share = (pos + neg) / (n1 + n0)
@@ -136,13 +143,13 @@ def _telling_pairs(found: list[np.ndarray], y: np.ndarray, z: np.ndarray, rows:
     """Buckets of pairs whose joint share differs more between the classes than either bucket's; ``rows``: rows of each bucket."""
     often = np.sort(np.argsort(-rows, kind="stable")[:PAIR_TERMS])
     often = often[rows[often] >= 3]
-    both = np.zeros((2, len(often), len(often)), np.float32)
+    both, places = np.zeros((2, len(often), len(often)), np.float32), _places(found, often)
     for label in (0, 1):
-        some = [t for t, k in zip(found, y, strict=True) if bool(k) == bool(label)]
+        some = [p for p, k in zip(places, y, strict=True) if bool(k) == bool(label)]
         for i in range(0, len(some), 1000):
             held = np.zeros((len(some[i : i + 1000]), len(often)), np.float32)
-            for row, t in zip(held, some[i : i + 1000], strict=True):
-                row[np.isin(often, t, assume_unique=True)] = 1
+            for row, p in zip(held, some[i : i + 1000], strict=True):
+                row[p] = 1
             both[label] += held.T @ held
     apart = _difference(both[1], both[0], max(1.0, y.sum()), max(1.0, len(y) - y.sum()))
     single = z[often]
@@ -168,7 +175,7 @@ def fit(found: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs:
         return Machine(np.empty(0, np.int64), float(np.log(max(share, 1e-12) / max(1 - share, 1e-12))), np.empty(0), np.empty((0, factors)))
     features = select_features(found, y)
     m, rng = len(features), np.random.default_rng(seed)
-    cols = [np.flatnonzero(np.isin(features, t, assume_unique=True)) for t in found]
+    cols = _places(found, features)
     theta = np.concatenate([np.zeros((m + 1, 1)), rng.normal(0, 0.02, (m + 1, factors))], 1)
     theta[m] = 0
     theta[m, 0] = np.log(y.mean() / (1 - y.mean()))
@@ -180,16 +187,15 @@ def fit(found: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs:
             rows = np.repeat(np.arange(len(part)), [len(cols[j]) for j in part])
             at = np.concatenate([cols[j] for j in part])
             v = theta[at, 1:]
-            total = np.zeros((len(part), factors))
-            np.add.at(total, rows, v)
-            squares = np.zeros(len(part))
-            np.add.at(squares, rows, (v * v).sum(1))
+            total = np.stack([np.bincount(rows, x, len(part)) for x in v.T], 1)
+            squares = np.bincount(rows, (v * v).sum(1), len(part))
             z = theta[m, 0] + np.bincount(rows, theta[at, 0], len(part)) + 0.5 * ((total * total).sum(1) - squares)
             err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) / len(part)
             grad = np.zeros_like(theta)
             grad[:m] = decay * theta[:m]
-            np.add.at(grad[:, 0], at, err[rows])
-            np.add.at(grad[:, 1:], at, err[rows, None] * (total[rows] - v))
+            grad[:, 0] += np.bincount(at, err[rows], m + 1)
+            for k, x in enumerate((err[rows, None] * (total[rows] - v)).T, 1):
+                grad[:, k] += np.bincount(at, x, m + 1)
             grad[m, 0] = err.sum()
             step += 1
             mean += 0.1 * (grad - mean)
