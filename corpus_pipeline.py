@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from corvane.llm import packing, simhash_similar, suffix_dedup
 from corvane.llm import toxicity as tox
-from corvane.llm.common import remove_path, shared_path
+from corvane.llm.common import remove_path, shared_path, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: One application runs all stages, so each leaves room for what the others hold: rows that travel to Python at a time, and bytes of words that packing remembers.
+BATCH, MEMORY = 1000, 24 << 20
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows score alike and all stay or go; a score of exactly the threshold goes; a text of any length is scored whole; other
     columns than those of ``documents`` are left out; an empty table gives an empty result.
     """
+    small_batches(spark, BATCH)
     docs = docs.select(*COLUMNS)
     machine = tox.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return tox.score(docs, machine, keep=COLUMNS).filter(F.col("score") < tox.THRESHOLD).select(*COLUMNS)
@@ -36,6 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     unless it is a near copy of one with an id; texts of any length are compared whole; other columns than those of
     ``documents`` are left out; an empty table gives an empty result.
     """
+    small_batches(spark, BATCH)
     return simhash_similar.deduplicate(docs.select(*COLUMNS))
 
 
@@ -46,6 +50,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     document stays even if nothing is left of its text; ``n_chars`` is counted anew; other columns than those of
     ``documents`` are left out; an empty table gives an empty result.
     """
+    small_batches(spark, BATCH)
     out = suffix_dedup.remove_repeats(docs.select(*COLUMNS), keep=("lang", "source"), as_text=True)
     return out.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
@@ -56,7 +61,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is a piece of the end id alone; repeated rows and rows without an id are packed each for itself;
     texts of any length are split whole; an empty table gives an empty result.
     """
-    return packing.pack(docs)
+    small_batches(spark, BATCH)
+    return packing.pack(docs, memory=MEMORY)
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("packing", pack)]
