@@ -190,7 +190,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([some.column(0), _ids_array(rows), *more], names=[id_col, "ids", "decoded"][: 2 + decoded])
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>" + ", decoded string" * decoded)
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, ids array<int>" + ", decoded string" * decoded, 10 * ROWS)
 
 
 def decode(encoded: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id") -> DataFrame:

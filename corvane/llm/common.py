@@ -79,14 +79,14 @@ def small_batches(spark: SparkSession, most: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(most))
 
 
-def in_arrow(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
+def in_arrow(rows: DataFrame, work: Callable, schema: str, most: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` in small batches, by workers that give memory back at the end of each task."""
 
     def run(batches):
         yield from work(batches)
         give_back()
 
-    small_batches(rows.sparkSession)
+    small_batches(rows.sparkSession, most)
     return rows.mapInArrow(run, schema)
 
 

@@ -32,6 +32,8 @@ from .memo import Memo, groups, spell
 
 TOKENIZER = "word_bpe_49k.json"
 SEQUENCE = 2048
+#: Rows whose distinct words are gathered together, if the session allows as many.
+ROWS = 10_000
 END_ID = 1
 #: Bytes of each generation of words that one worker remembers.
 MEMORY_BYTES = 64 << 20
@@ -43,6 +45,9 @@ _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Re
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
+#: A Latin letter, but for the one whose small letter ends in an accent of its own, and a mark of punctuation behind it.
+_APART = r"([A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{012F}\x{0131}-\x{017F}])([,.!?;:*#%$&)])"
+
 
 def word_by_word(spec: dict) -> bool:
     """Whether a tokenizer's specification lets ``WordIds`` encode each run of non-space bytes for itself."""
@@ -55,10 +60,10 @@ class WordIds:
 
     A tokenizer specified as ``word_by_word`` tells drops white space, and no
     token or normalisation reaches across it, so each distinct run between ASCII
-    white space is encoded once. Nor does any reach from an ASCII letter to a
-    comma or full stop, and case is lowered: a space between the former, and
-    lower case in runs of ASCII alone in which no special token can be, change no
-    id and leave fewer distinct runs. Other runs stay as they are: characters are
+    white space is encoded once. Nor does any reach from a letter to a mark of
+    punctuation that forms no contraction and takes no accent (``_APART``), and case
+    is lowered: a space between the former, and lower case in runs of ASCII alone
+    in which no special token can be, change no id and leave fewer distinct runs. Other runs stay as they are: characters are
     composed first, and some small letters compose with a mark while their
     capitals don't. With any other tokenizer each text is encoded whole.
     """
@@ -85,7 +90,7 @@ class WordIds:
             if not self.apart:
                 yield from (np.frombuffer(x, "<u4") for t in some for x in self._words([t.as_py()]))
                 continue
-            apart = pc.replace_substring_regex(some.cast(pa.large_string()), r"([A-Za-z])([,.])", r"\1 \2")
+            apart = pc.replace_substring_regex(some.cast(pa.large_string()), _APART, r"\1 \2")
             split = pc.ascii_split_whitespace(apart)
             words = split.flatten()
             plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
@@ -129,7 +134,7 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, sequence: int = SEQUENCE, e
         t.memo.forget()
 
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long")
+    return in_arrow(src, run, f"`{id_col}` {src.dtypes[0][1]}, start long, length long, ids binary, doc_tokens long, part long, nth long", ROWS)
 
 
 def number(pieces: DataFrame) -> DataFrame:
