@@ -83,7 +83,8 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     b = rows.select(F.col("key").alias("key_b"), F.col("fp").alias("fb"), F.col("rep").alias("b"))
     # equal segments share all 32 variants, and are reported at the first alone
     once = F.expr("shiftrightunsigned(key, 32) % 32 = 0 or (shiftrightunsigned(fa ^ fb, if(shiftrightunsigned(key, 37) = 0, 32, 0)) & 4294967295L) <> 0")
-    pairs = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("fa") < F.col("fb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits) & once)
+    # sizes are estimated without the 64 rows that a fingerprint makes: unhinted, the variants of a table of under Spark's broadcast threshold are all sent to the driver
+    pairs = a.hint("merge").join(b.hint("merge"), (F.col("key") == F.col("key_b")) & (F.col("fa") < F.col("fb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits) & once)
     return pairs.select("a", "b").distinct()
 
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corvane.llm import graph, simhash
 from corvane.llm import span_hash as sh
@@ -68,6 +69,15 @@ def test_links_against_brute_force(spark):
     assert got == {(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 3}
 
 
+def test_variants_are_not_broadcast(spark):
+    """Fingerprints under the broadcast threshold, whose variants take 64 times that room: no side of the join is gathered by the driver."""
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("rep"))
+    pairs = simhash.links(fps.groupBy("fp").agg(F.min("rep").alias("rep")))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_connected_components(spark, seed):
     rnd = random.Random(seed)
