@@ -6,20 +6,38 @@ inserted last, finds where the suffixes longer by one symbol belong (the rank of
 the symbol among its equals), and merges them into two columns: the transform
 and the lengths of the common prefixes of neighbours. Both columns are passed
 through in order only, once a round.
+
+A symbol may be several bytes: where only prefixes of ``length`` bytes count, a
+symbol is as many bytes as divide that length, up to ``WIDEST``. Each string is
+then there once for each of its last bytes left out, so that every suffix begins
+with a whole symbol; there are as many suffixes as with single bytes, in a
+fraction of the rounds. Symbols need one order, whichever it is.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 END = 0
+WIDEST = 5
+
+
+def _minima(lcp: np.ndarray) -> np.ndarray:
+    """Row k: the smallest of each ``2 ** k`` consecutive values."""
+    out = np.empty((len(lcp).bit_length(), len(lcp)), np.uint8)
+    out[0] = lcp
+    for k in range(1, len(out)):
+        w = 1 << k - 1
+        np.minimum(out[k - 1, : len(lcp) - 2 * w + 1], out[k - 1, w : len(lcp) - w + 1], out=out[k, : len(lcp) - 2 * w + 1])
+    return out
 
 
-def _least(lcp: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Smallest value of each ``lcp[first:last]``, none of them empty. From last to first, as what lies between rising spans would be read too."""
-    pairs = np.empty(2 * len(first), np.int64)
-    pairs[::2], pairs[1::2] = first[::-1], last[::-1]
-    return np.minimum.reduceat(lcp, pairs)[::2][::-1]
+def _least(minima: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Smallest of the values from ``first`` to before ``last``, none of these spans empty: of two that cover it."""
+    level = np.frexp(last - first)[1].astype(np.int64) - 1
+    row, flat = level * minima.shape[1], minima.ravel()
+    return np.minimum(flat[row + first], flat[row + last - (1 << level)])
 
 
 def build(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -28,41 +46,46 @@ def build(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     The transform has a byte plus 1 for each symbol and ``END`` in front of whole
     strings. It starts with the empty suffixes, in the strings' order.
     """
-    m, n, total = len(starts), len(starts), len(starts) + int(sizes.sum())
-    kind, bits = (np.int32 if total < 1 << 22 else np.int64), total.bit_length()
+    symbols, places, lcp = _columns(data, starts + sizes, sizes, 1)
+    bwt = np.full(len(lcp), END, np.uint8)
+    bwt[places] = symbols + 1
+    return bwt, lcp
+
+
+def _columns(symbols: np.ndarray, ends: np.ndarray, counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of the transform in order, their places, common prefixes). The ``j``-th last of a string's ``counts`` symbols stands at ``end - j * step``."""
+    m, n, total = len(ends), len(ends), len(ends) + int(counts.sum())
+    bits = total.bit_length()
+    kind = np.int32 if (int(symbols.max(initial=0)) + 1) << bits < 1 << 31 else np.int64
     place = kind((1 << bits) - 1)
-    both = np.zeros(m, np.uint16)  # a common prefix in the upper byte, a symbol of the transform in the lower one
+    lcp = np.zeros(m + 1, np.uint8)  # and a zero at its end
     sorted_ = np.empty(0, kind)  # (symbol, place) of each symbol of the transform, as one number, in order: their ranks
-    at, left, ends = np.arange(m, dtype=kind), sizes.copy(), starts + sizes  # of the strings that go on, in the order of their longest suffixes
-    for j in range(1, int(sizes.max(initial=0)) + 1):
+    at, left = np.arange(m, dtype=kind), counts  # of the strings that go on, in the order of their longest suffixes
+    for j in range(1, int(counts.max(initial=0)) + 1):
         if (left < j).any():
             on = left >= j
             at, left, ends = at[on], left[on], ends[on]
-        symbol = data[ends - j] + np.uint8(1)
-        both[at] |= symbol
-        lcp = np.empty(n + 1, np.uint8)
-        np.right_shift(both, 8, out=lcp[:n], casting="unsafe")
-        lcp[n] = 0
-        turn = np.argsort(symbol, kind="stable")
-        at, symbol, left, ends = at[turn], symbol[turn], left[turn], ends[turn]
-        key = symbol.astype(kind) << kind(bits) | at
+        key = symbols[ends - j * step].astype(kind) << kind(bits) | at
+        turn = np.argsort(key)
+        key, at, left, ends = key[turn], at[turn], left[turn], ends[turn]
+        symbol = key >> kind(bits)
         rank = np.searchsorted(sorted_, key) + np.arange(len(at))
         sorted_ = _with(sorted_, rank, key)
         before = sorted_[rank - 1]
         k = np.flatnonzero((rank > 0) & (before >> kind(bits) == symbol))
-        ahead = np.zeros(len(at), np.uint8)
+        minima, ahead = _minima(lcp), np.zeros(len(at), np.uint8)
         if len(k):
-            ahead[k] = _least(lcp, (before[k] & place) + 1, at[k] + 1) + np.uint8(1)
+            ahead[k] = _least(minima, (before[k] & place) + 1, at[k] + 1) + np.uint8(1)
         after = sorted_[np.minimum(rank + 1, len(sorted_) - 1)]
         k = np.flatnonzero((rank + 1 < len(sorted_)) & (after >> kind(bits) == symbol))
-        behind = _least(lcp, at[k] + 1, (after[k] & place) + 1) + np.uint8(1) if len(k) else np.empty(0, np.uint8)
+        behind = _least(minima, at[k] + 1, (after[k] & place) + 1) + np.uint8(1) if len(k) else np.empty(0, np.uint8)
         new = rank + m  # empty suffixes come first
         shift = np.repeat(np.arange(len(new) + 1, dtype=kind), np.diff(new - np.arange(len(new)), prepend=0, append=n))
         sorted_ += shift.take(sorted_ & place, mode="clip")  # places move by the suffixes that are inserted before them
-        both = _with(both, new, ahead.astype(np.uint16) << 8)
-        both[new[k] + 1] = both[new[k] + 1] & 255 | behind.astype(np.uint16) << 8
+        lcp = _with(lcp, new, ahead)
+        lcp[new[k] + 1] = behind
         at, n = new.astype(kind), n + len(new)
-    return both.astype(np.uint8), (both >> 8).astype(np.uint8)
+    return sorted_ >> kind(bits), sorted_ & place, lcp[:n]
 
 
 def _with(column: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -74,19 +97,33 @@ def _with(column: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
+def _wide(flat: np.ndarray, step: int) -> np.ndarray:
+    """A number for the ``step`` bytes from each place on, equal ones for equal bytes."""
+    if step == 1:
+        return flat
+    code = np.zeros(max(0, len(flat) - step + 1), np.uint64)
+    for i in range(step):
+        code <<= np.uint64(8)
+        code |= flat[i : i + len(code)]
+    return pa.array(code).dictionary_encode().indices.to_numpy()
+
+
 def classes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(size of the suffix, strings, class) for every suffix size of ``length`` on: equal classes share their first ``length`` symbols."""
-    bwt, lcp = build(data, starts, sizes)
-    m = len(starts)
-    order = np.argsort(bwt, kind="stable")
-    rank = np.empty(len(bwt), np.int64)
-    rank[order] = np.arange(len(bwt))
-    rank += m - np.count_nonzero(bwt == END)
-    group = np.cumsum(lcp < length)
-    strings, place, out = np.arange(m), np.arange(m), []
-    for j in range(1, int(sizes.max(initial=0)) + 1):  # from each string's empty suffix to its longer ones
-        on = sizes[strings] >= j
+    """(size of the suffix, strings, class) for every suffix size of ``length`` on: equal classes share their first ``length`` bytes."""
+    step = next(k for k in range(WIDEST, 0, -1) if length % k == 0)
+    m, ends = len(starts), np.cumsum(sizes)
+    flat = data[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+    less = np.repeat(np.arange(step), m)  # bytes left out at the end
+    counts = np.maximum(np.tile(sizes, step) - less, 0) // step
+    _, places, lcp = _columns(_wide(flat, step), np.tile(ends, step) - less, counts, step)
+    rank = np.empty(len(lcp), np.int64)
+    rank[places] = np.arange(len(counts), len(lcp))
+    group = np.cumsum(lcp < length // step)
+    strings, place, out = np.arange(len(counts)), np.arange(len(counts)), []
+    for j in range(1, int(counts.max(initial=0)) + 1):  # from each string's empty suffix to its longer ones
+        on = counts[strings] >= j
         strings, place = strings[on], rank[place[on]]
-        if j >= length:
-            out.append((j, strings, group[place]))
+        if j * step >= length:
+            cuts = np.searchsorted(strings, np.arange(step + 1) * m).tolist()
+            out += [(j * step + k, strings[a:b] - k * m, group[place[a:b]]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
     return out

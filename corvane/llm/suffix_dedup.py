@@ -55,8 +55,10 @@ BUCKET_BYTES = 8 << 20
 COLLECTION_BYTES = 1 << 18
 #: Distinct pieces of one key that are solved together.
 DIVIDE_BYTES = 1 << 20
-#: Groups in which a key occurs before it is divided and merged on the way.
-HOT_GROUPS = 2000
+#: Groups in which a key occurs before it is divided.
+HOT_GROUPS = 200
+#: Groups from which on the pieces of divided keys are merged on the way.
+MERGE_GROUPS = 100_000
 _BLOCK = 1 << 14
 NO_ID = np.iinfo(np.int64).max
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -192,7 +194,13 @@ def merged(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray) -> tuple[pa.Arra
 
 
 def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: int, seed: int = 2) -> list[np.ndarray]:
-    """For each distinct piece, with its key and smallest id: of each of its strings the smallest id that holds it.
+    """For each distinct piece, with its key and smallest id: of each of its strings the smallest id that holds it."""
+    flat, counts = _smallest_ids(pieces, keys, ids, length, seed)
+    return np.split(flat, np.cumsum(counts)[:-1])
+
+
+def _smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: int, seed: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """``smallest_ids`` one after the other, and the number of strings of each piece.
 
     They are read off the transforms of whole keys, of about ``COLLECTION_BYTES``
     together; a key of over ``DIVIDE_BYTES`` is divided by another hash.
@@ -209,8 +217,8 @@ def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: in
         end = i + int(np.argmax(last[i:]))  # of the first key
         if total[end] - before > DIVIDE_BYTES and seed < len(_MIX):
             part = order[i : end + 1]
-            for p, found in zip(part.tolist(), _divide(data, starts[part], sizes[part], ids[part], length, seed), strict=True):
-                flat[at[p] : at[p] + counts[p]] = found
+            places, _ = gather(np.arange(len(flat)), at[part], counts[part])
+            flat[places] = _divide(data, starts[part], sizes[part], ids[part], length, seed)
             i = end + 1
             continue
         j = int(np.searchsorted(total, before + COLLECTION_BYTES, side="right"))
@@ -225,11 +233,11 @@ def smallest_ids(pieces: pa.Array, keys: np.ndarray, ids: np.ndarray, length: in
             p = part[strings]
             flat[at[p] + sizes[p] - size] = best[group]
         i = j
-    return np.split(flat, at[1:])
+    return flat, counts
 
 
-def _divide(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int, seed: int) -> list[np.ndarray]:
-    """``smallest_ids`` of the pieces of one key, cut where the smallest hash by ``seed`` changes."""
+def _divide(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """``smallest_ids``, one after the other, of the pieces of one key, cut where the smallest hash by ``seed`` changes."""
     flat, _ = gather(data, starts, sizes)
     counts = sizes - length + 1
     own = np.repeat(np.arange(len(sizes)), counts)  # piece of each string
@@ -240,15 +248,15 @@ def _divide(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.nda
     runs = np.diff(np.append(first, len(own)))
     parts, part_sizes = gather(flat, at[first], runs + length - 1)
     distinct, keys, least, which = merged(binary(parts, part_sizes), key[first], ids[own[first]])
-    found = smallest_ids(distinct, keys, least, length, seed + 1)
-    return np.split(np.concatenate([found[w] for w in which.tolist()]), np.cumsum(counts)[:-1])
+    found, strings = _smallest_ids(distinct, keys, least, length, seed + 1)
+    return gather(found, (np.cumsum(strings) - strings)[which], strings[which])[0]
 
 
 def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), hot_groups: int = HOT_GROUPS, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), hot_groups: int = HOT_GROUPS, as_text: bool = False, merge_groups: int = MERGE_GROUPS) -> DataFrame:
     """id, the columns of ``keep``, n_bytes, n_removed, n_spans and ``kept`` of each row: the bytes that stay, or with ``as_text`` their whole characters."""
     if length < KEY_BYTES or 2 * length - 2 > 254:
         raise ValueError("length must be from 20 to 128")
@@ -308,7 +316,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         n = len(distinct)
         ids, key, hot = np.full(n, NO_ID), np.zeros(n, np.uint64), np.zeros(n, bool)
         np.minimum.at(ids, which, group.ids[group.doc[first]])
-        key[which], hot[which] = keys, very
+        key[which], hot[which] = keys, very & (n_groups > merge_groups)
         where = _bucket(key, n_buckets) + n_buckets * hot
         order = np.argsort(where, kind="stable")
         return first, count, which, distinct, ids, key, order, where[order]
@@ -355,9 +363,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def solve(t: pa.Table) -> pa.Table:
         distinct, keys, ids, which, sent = received(t)
-        found = smallest_ids(distinct, keys, ids, length)
-        every = np.concatenate(found)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
+        every, counts = _smallest_ids(distinct, keys, ids, length)
         at = np.cumsum(counts) - counts
         new = np.append(True, every[1:] != every[:-1])
         new[at] = True
@@ -407,7 +413,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     sent, told = "g long, bucket long, pieces binary, sizes binary, piece_keys binary, ids binary", "g long, bucket long, runs binary, lens binary, ids binary"
     answered = texts.groupBy("g").cogroup(lists.groupBy("g"))
     pieces = answered.applyInArrow(then_rest(send_pieces(hot=False)), sent)
-    if n_groups <= hot_groups:  # no key can be in more
+    if n_groups <= merge_groups:
         solved = pieces.groupBy("bucket").applyInArrow(then_rest(solve), told)
     else:
         few = max(2, math.isqrt(n_groups))

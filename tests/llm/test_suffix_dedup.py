@@ -104,6 +104,35 @@ def test_hot_pieces_come_from_few_senders(spark, monkeypatch):
     assert _run(spark, rows, hot_groups=20) == brute(rows)
 
 
+@pytest.mark.parametrize("merge_groups", [0, 10**9])
+def test_hot_keys_with_and_without_merging(spark, monkeypatch, merge_groups):
+    """Keys of many groups are divided either way; unless pieces are merged on the way, nothing is written and read again for them."""
+    monkeypatch.setattr(sd, "GROUP_BYTES", 4000)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 9000)
+    seen, write = [], sd.materialise
+    monkeypatch.setattr(sd, "materialise", lambda df: seen.append(df) or write(df))
+    rows = _fixture(9)
+    assert _run(spark, rows, hot_groups=2, merge_groups=merge_groups) == brute(rows) and len(seen) == (merge_groups == 0)
+    seen.clear()
+    if merge_groups:
+        assert _run(spark, rows, hot_groups=2) == brute(rows) and not seen  # by default at this number of groups
+
+
+@pytest.mark.parametrize("length", [50, 49, 51, 20, 23])
+def test_wide_symbols(monkeypatch, length):
+    """Classes by symbols of several bytes are those of single bytes, in fewer rounds."""
+    rnd = random.Random(length)
+    long = bytes(rnd.choice(b"ab") for _ in range(40)) * 6
+    s = [long[i : i + rnd.randrange(length - 1, 2 * length - 1)] for i in (rnd.randrange(100) for _ in range(60))] + [b"", b"ab", bytes([0, 254]) * 45]
+    rounds, minima = [], cb._minima
+    monkeypatch.setattr(cb, "_minima", lambda lcp: rounds.append(1) or minima(lcp))
+    got = {(i, len(s[i]) - size): g for size, strings, group in cb.classes(*_packed(s), length) for i, g in zip(strings.tolist(), group.tolist())}
+    want = {(i, k): x[k : k + length] for i, x in enumerate(s) for k in range(len(x) - length + 1)}
+    assert set(got) == set(want) and len(set(zip(got.values(), (want[q] for q in got)))) == len(set(want.values())) == len(set(got.values()))
+    step = next(k for k in (5, 4, 3, 2, 1) if length % k == 0)
+    assert len(rounds) == max(map(len, s)) // step
+
+
 def test_large_keys_are_divided(monkeypatch):
     """One key for all pieces, divided by further hashes or not: the same smallest ids."""
     import pyarrow as pa
